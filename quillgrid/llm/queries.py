@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import toxicity
+from . import neardup, quality, toxicity
 
 QUERIES = {
+    "op2_neardup": neardup.query,
+    "op5_quality": quality.query,
     "op8_toxicity": toxicity.query,
 }
 
