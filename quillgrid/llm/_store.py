@@ -35,10 +35,11 @@ class Tables:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, rows_per_file: int = 0) -> DataFrame:
+        """df as written and read again; rows_per_file bounds what a reader of wide rows holds at a time."""
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
+        df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.kept_at = path
         return out
