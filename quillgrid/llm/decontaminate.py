@@ -97,7 +97,7 @@ def matches(docs: DataFrame, items: DataFrame, tables: Tables | None = None) ->
     tables = tables or Tables(docs.sparkSession, "decontaminate")
     words = tables.keep(item_words(items))
     n_places = words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
-    terms = words.select(F.xxhash64(F.explode("words")).alias("term")).distinct()
+    terms = words.select(F.explode("words").alias("word")).select(F.xxhash64("word").alias("term")).distinct()
     index = tables.keep(build_index(docs, terms, n_places))
     cut = tables.keep(windows(words, frequencies(index)))
     near = alignments(index, words, cut, n_places)

@@ -51,7 +51,8 @@ def proved_whole(path: str, ending: str = "</w>") -> list[str]:
     byte = {v: k for k, v in byte_letters().items()}
     out = []
     for piece in tokenizer.get_vocab(with_added_tokens=False):
-        if piece.endswith(ending) and all(c in byte for c in (word := piece[: -len(ending)])) and word and len(tokenizer.model.tokenize(word)) == 1:
+        word = piece.removesuffix(ending)
+        if word and word != piece and all(c in byte for c in word) and len(tokenizer.model.tokenize(word)) == 1:
             try:
                 out.append(bytes(byte[c] for c in word).decode())
             except UnicodeDecodeError:  # part of a character: never a pre-token
