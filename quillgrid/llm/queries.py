@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from . import neardup, quality, toxicity
+from . import ann, bytebpe, decontaminate, lm, neardup, preference, quality, tokencount, toxicity
 
 QUERIES = {
+    "op1_lm": lm.query,
     "op2_neardup": neardup.query,
+    "op3_ann": ann.query,
     "op5_quality": quality.query,
+    "op6_preference": preference.query,
+    "op7_byte_bpe": bytebpe.query,
     "op8_toxicity": toxicity.query,
+    "op9_token_count": tokencount.query,
+    "op10_decontaminate": decontaminate.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op6_preference": preference.SQL,
+    "op10_decontaminate": decontaminate.SQL,
+}
