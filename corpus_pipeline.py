@@ -1,10 +1,14 @@
-"""The corpus pipeline: stages applied to documents, each written as Parquet and reread by the next."""
+"""The corpus pipeline: stages applied to documents, each written as Parquet and reread by the next.
+
+Each stage works on all rows that its predecessor kept, and all but the last return the columns of documents. The
+last returns doc_id, n_tokens, ids, and digests of the ids and of the decoded bytes.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillgrid.llm import toxicity
+from quillgrid.llm import bytebpe, decontaminate, linededup, neardup, toxicity
 from quillgrid.llm._store import Tables
 
 
@@ -13,9 +17,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
-STAGES = [("toxicity", drop_toxic)]
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of lines that repeat an earlier place go, and documents that consist of them alone."""
+    return linededup.drop_repeats(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, that of the smallest id."""
+    return neardup.keep_first(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every remaining text."""
+    return bytebpe.encode(docs, with_ids=True).drop("decoded")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("near-duplicates", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("encoding", encode),
+]
 
-#: Fitted models and tokenizers are beyond SQL.
+#: Fitted models and tokenizers are beyond SQL; tests/llm holds the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -74,12 +74,12 @@ n AS (SELECT pair_id, count(*) FILTER (side = 0) AS na, count(*) FILTER (side =
 bad AS (SELECT a.pair_id, min(a.k) AS k FROM c a JOIN c b ON a.pair_id = b.pair_id AND a.k = b.k AND a.side = 0 AND b.side = 1 WHERE a.role <> b.role OR a.text <> b.text GROUP BY a.pair_id),
 p AS (SELECT n.pair_id, coalesce(bad.k - 1, least(na, nb)) AS len FROM n LEFT JOIN bad USING (pair_id)),
 r AS (SELECT c.pair_id, side, k, k <= len AS shared, role, text, '<|' || role || '|>' || chr(10) || text || chr(10) AS said, length(role) + 5 AS head FROM c JOIN p USING (pair_id)),
-s AS (SELECT *, coalesce(sum(length(said)) OVER (PARTITION BY pair_id, side, shared ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM r)
+s AS (SELECT *, coalesce(sum(length(said)) OVER (PARTITION BY pair_id, side, shared ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p0 FROM r)
 SELECT ids.pair_id, CAST(any_value(p.len) AS BIGINT) AS n_prompt_turns,
   coalesce(string_agg(said, '' ORDER BY k) FILTER (shared AND side = 0), '') AS prompt,
   coalesce(string_agg(said, '' ORDER BY k) FILTER (NOT shared AND side = 0), '') AS chosen,
   coalesce(string_agg(said, '' ORDER BY k) FILTER (NOT shared AND side = 1), '') AS rejected,
-  coalesce(string_agg(CAST(at + head AS BIGINT) || '-' || CAST(at + head + length(text) AS BIGINT), ',' ORDER BY k) FILTER (NOT shared AND side = 0 AND role = 'assistant'), '') AS chosen_spans,
-  coalesce(string_agg(CAST(at + head AS BIGINT) || '-' || CAST(at + head + length(text) AS BIGINT), ',' ORDER BY k) FILTER (NOT shared AND side = 1 AND role = 'assistant'), '') AS rejected_spans
+  coalesce(string_agg(CAST(p0 + head AS BIGINT) || '-' || CAST(p0 + head + length(text) AS BIGINT), ',' ORDER BY k) FILTER (NOT shared AND side = 0 AND role = 'assistant'), '') AS chosen_spans,
+  coalesce(string_agg(CAST(p0 + head AS BIGINT) || '-' || CAST(p0 + head + length(text) AS BIGINT), ',' ORDER BY k) FILTER (NOT shared AND side = 1 AND role = 'assistant'), '') AS rejected_spans
 FROM ids JOIN p USING (pair_id) LEFT JOIN s USING (pair_id) GROUP BY ids.pair_id
 """

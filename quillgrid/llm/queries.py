@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import ann, bytebpe, decontaminate, lm, neardup, preference, quality, tokencount, toxicity
+from . import ann, bytebpe, decontaminate, linededup, lm, neardup, preference, quality, tokencount, toxicity
 
 QUERIES = {
     "op1_lm": lm.query,
     "op2_neardup": neardup.query,
     "op3_ann": ann.query,
+    "op4_line_dedup": linededup.query,
     "op5_quality": quality.query,
     "op6_preference": preference.query,
     "op7_byte_bpe": bytebpe.query,
