@@ -1,11 +1,11 @@
-"""Byte-level BPE: merges folded by Spark's higher-order functions over the bytes of distinct words.
+"""Byte-level BPE: merges folded by Spark's higher-order functions over the byte arrays of distinct words.
 
 The pre-tokenising pattern runs in the JVM. A Python step numbers the words of a task, so that each distinct word of
-the task (or of a generation of GENERATION words, which bounds memory) is encoded once. Encoding is a fold: the state
-is the array of pieces, as hexadecimal strings of their bytes, and the ranks of neighbouring pairs; each step merges
-the leftmost pair of least rank. Ranks come from one literal, an array of small maps addressed by the CRC of the key,
-since Spark looks a key up in a map by walking it. Decoding looks each id's bytes up in a literal array and
-concatenates the binary pieces. No row is shuffled.
+the task (or of a generation of GENERATION words, which bounds memory) is encoded once, and hands on its bytes as an
+array of byte ids. Encoding is a fold: the state is the array of ids and the ranks of neighbouring pairs; each step
+merges the leftmost pair of least rank, whose rank is the id of the merged piece. Ranks come from one literal map from
+pairs of ids to ranks. Spark would walk a MAP to find a key, so the literal is an array in which a pair has two possible
+places (cuckoo hashing). Decoding takes each id's binary piece and concatenates them. No row is shuffled.
 
 A word that is itself in the vocabulary is one token, as in the library. Words of more than LONGEST bytes are encoded
 by the library (the fold is quadratic in a word's length). Texts with code points that the JVM's Unicode tables do
@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +35,8 @@ _WIDE = ((0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F),
 _SPACE = r"\t-\r \x85\xa0" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _WIDE)
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 ORIGINAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Maps of the rank literal, bytes of a word that is folded, distinct words that a task remembers, and no rank.
-MAPS, LONGEST, GENERATION, NONE = 1 << 14, 192, 300_000, 2147483647
+#: Bits of an id, bytes of a word that is folded, distinct words that a task remembers, and no rank.
+BITS, LONGEST, GENERATION, NONE = 20, 192, 400_000, 2147483647
 
 
 def default_path() -> str:
@@ -51,21 +50,41 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """array<map<string,int>>: the map at CRC-32 of a piece's hexadecimal string modulo MAPS has its rank. Folded to a literal."""
-    maps: list[dict[str, int]] = [{} for _ in range(MAPS)]
-    for piece, rank in ranks.items():
-        key = piece.hex().upper()
-        maps[zlib.crc32(key.encode()) % MAPS][key] = rank
-    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
-
-
-def piece_literal(ranks: dict[bytes, int]) -> Column:
-    """array<string>: the hexadecimal bytes of each id. Folded to a literal."""
-    pieces = [""] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece.hex().upper()
-    return F.from_json(F.lit(json.dumps(pieces, separators=(",", ":"))), "array<string>")
+def _prime(n: int) -> int:
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def rank_table(ranks: dict[bytes, int]) -> tuple[list[int], int, int]:
+    """The pairs of ids whose pieces together are a piece, as a cuckoo table: entry (pair << BITS | rank) is at pair mod p, or at p + pair mod q."""
+    pairs = [(((ranks[w[:i]] << BITS) | ranks[w[i:]]) + 1, rank) for w, rank in ranks.items() for i in range(1, len(w)) if w[:i] in ranks and w[i:] in ranks]
+    size = max(11, int(1.3 * len(pairs)))
+    while True:
+        p = _prime(size)
+        q = _prime(p + 2)
+        table, key = [0] * (p + q), [0] * (p + q)
+        for k, rank in pairs:
+            entry, at = (k << BITS) | rank, k % p
+            for _ in range(200):
+                table[at], entry = entry, table[at]
+                key[at], k = k, key[at]
+                if not entry:
+                    break
+                at = p + k % q if at == k % p else k % p
+            else:
+                break
+        else:
+            return table, p, q
+        size = int(1.2 * size)
+
+
+def rank_literal(ranks: dict[bytes, int]) -> tuple[Column, int, int]:
+    """The table as a column that the optimizer folds to one literal, and its two moduli."""
+    if max(ranks.values()) >> BITS:
+        raise ValueError(f"ids must be under 2^{BITS}")
+    table, p, q = rank_table(ranks)
+    return F.from_json(F.lit(json.dumps(table, separators=(",", ":"))), "array<bigint>"), p, q
 
 
 def _let(value: Column, body) -> Column:
@@ -73,119 +92,122 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def encode_word(word: Column, maps: Column) -> Column:
-    """The ids of one word (a string), by folding merges."""
-    rank = lambda key: F.coalesce(maps[(F.crc32(key.cast("binary")) % MAPS).cast("int")][key], F.lit(NONE))
+def encode_word(ids: Column, table: Column, p: int, q: int) -> Column:
+    """The ids of one word, from those of its bytes, by folding merges."""
+
+    def rank(a: Column, b: Column) -> Column:
+        def find(k: Column) -> Column:
+            one, two = table[(k % p).cast("int")], table[(k % q + p).cast("int")]
+            own = lambda e: e.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+            return F.when(F.shiftright(one, BITS) == k, own(one)).when(F.shiftright(two, BITS) == k, own(two)).otherwise(NONE)
+
+        return _let(F.shiftleft(a.cast("bigint"), BITS) + b + F.lit(1), find)
+
+    none, join = F.array().cast("array<int>"), lambda *parts: F.flatten(F.array(*parts))  # concat is lazy, and dearer
 
-    def merge(s: Column, i: Column) -> Column:
-        p, r = s["p"], s["r"]
-        piece = F.concat(p[i - 1], p[i])
-        before = F.when(i > 1, F.array(rank(F.concat(p[i - 2], piece)))).otherwise(F.array().cast("array<int>"))
-        after = F.when(i < F.size(r), F.array(rank(F.concat(piece, p[i + 1])))).otherwise(F.array().cast("array<int>"))
+    def merge(s: Column, m: Column, i: Column) -> Column:
+        w, r = s["w"], s["r"]
+        before = F.when(i > 1, F.array(rank(w[i - 2], m))).otherwise(none)
+        after = F.when(i < F.size(r), F.array(rank(m, w[i + 1]))).otherwise(none)
         return F.struct(
-            F.concat(F.slice(p, 1, i - 1), F.array(piece), F.slice(p, i + 2, F.size(p))).alias("p"),
-            F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), before, after, F.slice(r, i + 2, F.size(p))).alias("r"),
+            join(F.slice(w, 1, i - 1), F.array(m), F.slice(w, i + 2, F.size(w))).alias("w"),
+            join(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), before, after, F.slice(r, i + 2, F.size(w))).alias("r"),
         )
 
     def step(s: Column, _: Column) -> Column:
-        return _let(F.array_min(s["r"]), lambda m: F.when(F.coalesce(m, F.lit(NONE)) == NONE, s).otherwise(_let(F.array_position(s["r"], m).cast("int"), lambda i: merge(s, i))))
+        return _let(F.array_min(s["r"]), lambda m: F.when(F.coalesce(m, F.lit(NONE)) == NONE, s).otherwise(_let(F.array_position(s["r"], m).cast("int"), lambda i: merge(s, m, i))))
 
-    def fold(h: Column) -> Column:
-        n = (F.length(h) / 2).cast("int")
-        start = F.struct(
-            F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(h, 2 * i + 1, F.lit(2))).alias("p"),
-            F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substring(h, 2 * i - 1, F.lit(4)))).alias("r"),
-        )
-        return F.aggregate(F.sequence(F.lit(1), n - 1), start, step, lambda s: F.transform(s["p"], rank))
-
-    return _let(F.hex(word), lambda h: _let(rank(h), lambda whole: F.when((whole != NONE) | (F.length(h) == 2), F.array(whole)).otherwise(fold(h))))
-
-
-def _number(batches):
-    """Each batch of texts as word numbers of its task, with the words that have not come before in the generation."""
-    import regex
-
-    seen, generation, split = {}, 0, regex.compile(ORIGINAL)
-    for batch in batches:
-        words, text = batch.column("words"), batch.column("text")
-        if words.null_count:  # a null text, or one to be split here
-            words = pa.array([split.findall(t or "") if w is None else w for w, t in zip(words.to_pylist(), text.to_pylist(), strict=True)], pa.list_(pa.string()))
-        flat = pc.dictionary_encode(words.flatten())
-        if len(seen) > GENERATION:
-            seen, generation = {}, generation + 1
-        at, fresh = np.empty(len(flat.dictionary), np.int32), []
-        for k, word in enumerate(flat.dictionary.to_pylist()):
-            n = seen.get(word)
-            if n is None:
-                n = seen[word] = len(seen)
-                fresh.append(word)
-            at[k] = n
-        idx = at[flat.indices.to_numpy()] if len(flat) else at
-        lens = words.value_lengths().to_numpy()
-        one = lambda x, t: pa.array([x], pa.list_(t))
-        yield pa.RecordBatch.from_arrays([pa.array([generation], pa.int32()), one(batch.column("doc_id").to_pylist(), pa.int64()), one(lens, pa.int32()), one(idx, pa.int32()), one(fresh, pa.string())], ["generation", "doc_id", "lens", "idx", "fresh"])
+    start = F.struct(ids.alias("w"), F.zip_with(F.slice(ids, 1, F.size(ids) - 1), F.slice(ids, 2, F.size(ids)), rank).alias("r"))
+    return F.when(F.size(ids) < 2, ids).otherwise(F.aggregate(F.slice(ids, 2, F.size(ids)), start, step, lambda s: s["w"]))
 
 
 def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with_ids adds ids (array<int>) and decoded (binary)."""
     ranks = read_ranks(path or default_path())
     spark = bounded_batches(docs.sparkSession, 2048)
-    text = F.col("text")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(text.rlike(r"\p{Cn}"), text).alias("text"), F.when(~text.rlike(r"\p{Cn}"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("words"))
-    numbered = rows.mapInArrow(_number, "generation int, doc_id array<long>, lens array<int>, idx array<int>, fresh array<string>")
-    long = F.octet_length
-    maps, own = rank_literal(ranks), piece_literal(ranks)
-    ids = _let(maps, lambda m: F.transform("fresh", lambda w: F.when(long(w) <= LONGEST, encode_word(w, m))))
-    encoded = numbered.select("generation", "doc_id", "lens", "idx", ids.alias("ids"), F.filter("fresh", lambda w: long(w) > LONGEST).alias("rest"))
-    if_long = ranks
-
-    def library(words: list[str]) -> list[list[int]]:
-        import tiktoken
+    byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+    table, p, q = rank_literal(ranks)
 
-        known = tiktoken.Encoding("own", pat_str=ORIGINAL, mergeable_ranks=if_long, special_tokens={})
-        return [known._encode_single_piece(w.encode()) for w in words]
+    def number(batches):
+        """Each batch of texts as word numbers of its task, with the words that have not come before in the generation."""
+        import regex
 
-    decoded = _let(own, lambda p: F.transform("ids", lambda w: F.unhex(F.array_join(F.transform(w, lambda i: p[i]), ""))))
-    both = encoded.select("*", decoded.alias("decoded"))
+        seen, generation, split = {}, 0, regex.compile(ORIGINAL)
+        for batch in batches:
+            words, text = batch.column("words"), batch.column("text")
+            if words.null_count:  # a null text, or one to be split here
+                words = pa.array([split.findall(t or "") if w is None else w for w, t in zip(words.to_pylist(), text.to_pylist(), strict=True)], pa.list_(pa.string()))
+            flat = pc.dictionary_encode(words.flatten())
+            if len(seen) > GENERATION:
+                seen, generation = {}, generation + 1
+            at, fresh = np.empty(len(flat.dictionary), np.int32), []
+            for k, word in enumerate(flat.dictionary.to_pylist()):
+                n = seen.get(word)
+                if n is None:
+                    n = seen[word] = len(seen)
+                    fresh.append(word.encode())
+                at[k] = n
+            idx = at[flat.indices.to_numpy()] if len(flat) else at
+            lens = words.value_lengths().to_numpy()
+            whole = np.array([ranks.get(w, -1) if len(w) <= LONGEST else -2 for w in fresh], np.int64)
+            sizes = np.array([len(w) for w in fresh], np.int64)
+            ids, kept = byte_id[np.frombuffer(b"".join(fresh), np.uint8)], np.where(whole >= 0, 1, np.where(whole == -1, sizes, 0))
+            first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+            ids[first[whole >= 0]] = whole[whole >= 0]
+            use = np.repeat(kept, sizes) > np.arange(len(ids)) - np.repeat(first, sizes)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), pa.array(ids[use]))
+            one = lambda x, t: pa.array([x], pa.list_(t))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([generation], pa.int32()), one(batch.column("doc_id").to_pylist(), pa.int64()), one(lens, pa.int32()), one(idx, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), lists), one([w for w, n in zip(fresh, whole.tolist(), strict=True) if n == -2], pa.binary()),
+                ],
+                ["generation", "doc_id", "lens", "idx", "fresh", "long"],
+            )
 
     def assemble(batches):
-        pieces_of = None
-        generation, said, made, count = -1, None, None, None
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for w, rank in ranks.items():
+            pieces[rank] = w
+        pieces, long, generation, said, made, known = pa.array(pieces, pa.binary()), None, -1, None, None, None
         for batch in batches:
             for k in range(batch.num_rows):
-                g, doc_id, lens, idx, new, rest, back = (batch.column(x)[k] for x in ("generation", "doc_id", "lens", "idx", "ids", "rest", "decoded"))
-                new, back = new.values, back.values
-                if new.null_count:
-                    pieces_of = pieces_of or {v: k for k, v in if_long.items()}
-                    todo = iter(library(rest.as_py()))
-                    filled = [next(todo) if x is None else x for x in new.to_pylist()]
-                    back = pa.array([b"".join(pieces_of[i] for i in x) if b is None else b for x, b in zip(filled, back.to_pylist(), strict=True)], pa.binary())
-                    new = pa.array(filled, pa.list_(pa.int32()))
+                g, doc_id, lens, idx, new, rest = (batch.column(x)[k] for x in ("generation", "doc_id", "lens", "idx", "ids", "long"))
+                new = new.values
+                if len(rest.values):
+                    import tiktoken
+
+                    long = long or tiktoken.Encoding("own", pat_str=ORIGINAL, mergeable_ranks=ranks, special_tokens={})
+                    todo = iter([long._encode_single_piece(w) for w in rest.as_py()])
+                    new = pa.array([x or next(todo) for x in new.to_pylist()], pa.list_(pa.int32()))
                 off = pa.array(np.concatenate([[0], np.cumsum(new.value_lengths().to_numpy())]).astype(np.int32))
-                text = pc.binary_join(pa.ListArray.from_arrays(off, new.flatten().cast(pa.string())), " ") if len(new) else pa.array([], pa.string())
-                sizes = new.value_lengths().to_numpy()
+                flat = new.flatten()
+                text = pc.binary_join(pa.ListArray.from_arrays(off, flat.cast(pa.string())), " ")
+                raw = pc.binary_join(pa.ListArray.from_arrays(off, pieces.take(flat)), b"")
                 if g.as_py() != generation:
-                    generation, said, made, count, whole = g.as_py(), text, back, sizes, new
+                    generation, said, made, known = g.as_py(), text, raw, new
                 else:
-                    said, made, count = pa.concat_arrays([said, text]), pa.concat_arrays([made, back]), np.concatenate([count, sizes])
-                    whole = pa.concat_arrays([whole, new]) if with_ids else None
-                idx, lens = idx.values, lens.values.to_numpy()
-                edge = np.concatenate([[0], np.cumsum(lens)])
+                    said, made, known = pa.concat_arrays([said, text]), pa.concat_arrays([made, raw]), pa.concat_arrays([known, new])
+                idx, edge = idx.values, np.concatenate([[0], np.cumsum(lens.values.to_numpy())])
                 lists = lambda x, e=edge: pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), x)
                 spoken = pc.binary_join(lists(said.take(idx)), " ").to_pylist()
-                bytes_ = pc.binary_join(lists(made.take(idx)), b"").to_pylist()
-                total = np.concatenate([[0], np.cumsum(count[idx.to_numpy()])])
-                n = total[edge[1:]] - total[edge[:-1]]
-                cols = [doc_id.values, pa.array(n), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in spoken]), pa.array([hashlib.sha256(x).hexdigest() for x in bytes_])]
+                joined = pc.binary_join(lists(made.take(idx)), b"").to_pylist()
+                total = np.concatenate([[0], np.cumsum(known.value_lengths().to_numpy()[idx.to_numpy()])])
+                cols = [doc_id.values, pa.array(total[edge[1:]] - total[edge[:-1]], pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in spoken]), pa.array([hashlib.sha256(x).hexdigest() for x in joined])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    all_ids = whole.take(idx).flatten()
-                    cols += [pa.ListArray.from_arrays(pa.array(total[edge].astype(np.int32)), all_ids), pa.array(bytes_, pa.binary())]
+                    cols += [pa.ListArray.from_arrays(pa.array(total[edge].astype(np.int32)), known.take(idx).flatten()), pa.array(joined, pa.binary())]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
+    text = F.col("text")
+    odd = (F.length(text) != F.octet_length(text)) & text.rlike(r"\p{Cn}")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(odd, text).alias("text"), F.when(~odd, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("words"))
+    numbered = rows.mapInArrow(number, "generation int, doc_id array<long>, lens array<int>, idx array<int>, fresh array<array<int>>, long array<binary>")
+    ids = _let(table, lambda t: F.transform("fresh", lambda w: encode_word(w, t, p, q)))
+    encoded = numbered.select("generation", "doc_id", "lens", "idx", ids.alias("ids"), "long")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_ids else "")
-    return both.mapInArrow(assemble, schema)
+    return encoded.mapInArrow(assemble, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
