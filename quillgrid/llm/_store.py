@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir as the cluster names it; a temporary folder only where it is unset, as in local tests."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -38,8 +41,13 @@ class Tables:
     def keep(self, df: DataFrame, rows_per_file: int = 0) -> DataFrame:
         """df as written and read again; rows_per_file bounds what a reader of wide rows holds at a time."""
         self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+        path, conf = f"{self.root}/{self.n}", self.spark.conf
+        before = conf.get(CLEANUP, "false")
+        conf.set(CLEANUP, "true")  # once a table is written, the shuffle files behind it are of no use
+        try:
+            df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+        finally:
+            conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.kept_at = path
         return out
