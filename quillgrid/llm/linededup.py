@@ -19,6 +19,8 @@ an only line is never a chunk.
 
 from __future__ import annotations
 
+from itertools import takewhile
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -123,19 +125,30 @@ def cover(spans: list[dict]) -> list[dict]:
     return out
 
 
+def _covers(batches):
+    """For each document, as few of its repeated chunks as cover their lines."""
+    for batch in batches:
+        rows = [(row, s["key"], s["first"], s["past"]) for row, spans in zip(batch.column("row").to_pylist(), batch.column("spans").to_pylist(), strict=True) for s in cover(spans)]
+        cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["row", "key", "first", "past"])
+
+
 def _bytes_of(batches):
-    """For each document, the bytes, and neighbouring lines, of its repeated chunks."""
+    """For each document, the bytes of its listed chunks and the neighbouring lines that no listed chunk has."""
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary()))
     for batch in batches:
         for part in pieces(batch, "text"):
-            cols = [[] for _ in range(7)]
+            cols = [[] for _ in kinds]
             for row, text, spans in zip(part.column("row").to_pylist(), part.column("text").to_pylist(), part.column("spans").to_pylist(), strict=True):
                 lines = text.encode().split(b"\n")
-                mine = cover([s for s in spans if not s["stays"]])
-                for s in mine + [s for s in spans if s["stays"]]:
+                gone = {k for s in spans if not s["stays"] for k in range(s["first"], s["past"])}
+                for s in spans:
                     a, b = s["first"], s["past"]
-                    for c, v in zip(cols, (s["key"], row, s["stays"], a, b"\n".join(lines[a:b]), lines[max(0, a - AROUND) : a][::-1], lines[b : b + AROUND]), strict=True):
+                    before, after = range(a - 1, max(-1, a - 1 - AROUND), -1), range(b, min(len(lines), b + AROUND))
+                    if not s["stays"]:
+                        before, after = (list(takewhile(lambda k: k not in gone, side)) for side in (before, after))
+                    for c, v in zip(cols, (s["key"], row, s["stays"], a, b"\n".join(lines[a:b]), [lines[k] for k in before], [lines[k] for k in after]), strict=True):
                         c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["key", "row", "stays", "first", "bytes", "before", "after"])
 
 
@@ -144,17 +157,23 @@ def repeats(docs: DataFrame, tables: Tables) -> DataFrame:
     found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(_chunk_rows, "doc_id long, row long, seed byte, key long, first int, past int"))
     place = F.struct("doc_id", "row", "first")
     often = found.groupBy("key").agg(F.min(place).alias("home"), F.max(place).alias("other")).where("home <> other").select("key", "home")
-    spans = found.join(often, "key").select("row", F.struct("key", "first", "past", (place == F.col("home")).alias("stays")).alias("s"))
-    own = spans.groupBy("row").agg(F.collect_set("s").alias("spans"))  # bounded by a document's own lines
-    held = docs.join(own, "row").select("row", "text", "spans").dropDuplicates(["row"])
+    again = found.join(often, "key").where(place != F.col("home")).select("row", "key", "first", "past", F.col("home.row").alias("home_row"), F.col("home.first").alias("home_first"))
+    again = tables.keep(again.dropDuplicates(["row", "key", "first"]))
+    tables.drop(found)
+    own = again.groupBy("row").agg(F.collect_list(F.struct("key", "first", "past")).alias("spans"))  # bounded by a document's own lines
+    mine = tables.keep(own.mapInArrow(_covers, "row long, key long, first int, past int"))
+    homes = again.join(mine.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("home_row").alias("row"), F.first("home_first").alias("first"), F.first(F.col("past") - F.col("first")).alias("n"))
+    span = lambda stays: F.struct("key", "first", "past", F.lit(stays).alias("stays"))
+    listed = mine.select("row", span(False).alias("s")).union(homes.select("row", "key", "first", (F.col("first") + F.col("n")).alias("past")).select("row", span(True).alias("s")))
+    held = docs.join(listed.groupBy("row").agg(F.collect_list("s").alias("spans")), "row").select("row", "text", "spans").dropDuplicates(["row"])
     parts = tables.keep(held.mapInArrow(_bytes_of, "key long, row long, stays boolean, first int, bytes binary, before array<binary>, after array<binary>"))
-    wanted = parts.where("NOT stays").select("key").distinct()
-    homes = parts.where("stays").join(wanted, "key", "left_semi").select("key", F.col("bytes").alias("b"), F.col("before").alias("b0"), F.col("after").alias("b1")).dropDuplicates(["key"])
-    equal = parts.where("NOT stays").join(homes, "key").where(F.col("bytes") == F.col("b"))
+    tables.drop(again, mine)
+    there = parts.where("stays").select("key", F.col("bytes").alias("b"), F.col("before").alias("b0"), F.col("after").alias("b1"))
+    equal = parts.where("NOT stays").join(there, "key").where(F.col("bytes") == F.col("b"))
 
     def run(x: str, y: str):
         """How many neighbouring lines are equal before one differs."""
-        both = F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)))
+        both = F.transform(F.slice(x, 1, F.least(F.size(x), F.size(y))), lambda p, i: p == F.col(y)[i])
         stop = F.array_position(both, False).cast("int")
         return F.when(stop == 0, F.size(both)).otherwise(stop - 1)
 
