@@ -2,7 +2,8 @@
 
 The pre-tokenising pattern runs in the JVM. A Python step numbers the words of a task, so that each distinct word of
 the task (or of a generation of GENERATION words, which bounds memory) is encoded once, and hands on its bytes as an
-array of byte ids. Encoding is a fold: the state is the array of ids and the ranks of neighbouring pairs; each step
+array of byte ids. The COMMON most frequent words of SAMPLE documents are encoded once for all tasks; a word that is not
+among them is encoded by the task that meets it. Encoding is a fold: the state is the array of ids and the ranks of neighbouring pairs; each step
 merges the leftmost pair of least rank, whose rank is the id of the merged piece. Ranks come from one literal map from
 pairs of ids to ranks. Spark would walk a MAP to find a key, so the literal is an array in which a pair has two possible
 places (cuckoo hashing). Decoding takes each id's binary piece and concatenates them. No row is shuffled.
@@ -36,7 +37,9 @@ _SPACE = r"\t-\r \x85\xa0" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _WI
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 ORIGINAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bits of an id, bytes of a word that is folded, distinct words that a task remembers, and no rank.
-BITS, LONGEST, GENERATION, NONE = 20, 192, 400_000, 2147483647
+BITS, LONGEST, GENERATION, NONE = 20, 192, 300_000, 2147483647
+#: Documents of which the commonest words are encoded beforehand, and how many words; both bound a cache and nothing else.
+SAMPLE, COMMON = 20_000, 1 << 19
 
 
 def default_path() -> str:
@@ -121,46 +124,73 @@ def encode_word(ids: Column, table: Column, p: int, q: int) -> Column:
     return F.when(F.size(ids) < 2, ids).otherwise(F.aggregate(F.slice(ids, 2, F.size(ids)), start, step, lambda s: s["w"]))
 
 
+def byte_arrays(words: list[bytes], ranks: dict[bytes, int], byte_id: np.ndarray) -> pa.ListArray:
+    """For each word the ids of its bytes; its own id alone if it is in the vocabulary; nothing if it is too long to be folded."""
+    whole = np.array([ranks.get(w, -1) if len(w) <= LONGEST else -2 for w in words], np.int64)
+    sizes = np.array([len(w) for w in words], np.int64)
+    ids, kept = byte_id[np.frombuffer(b"".join(words), np.uint8)], np.where(whole >= 0, 1, np.where(whole == -1, sizes, 0))
+    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    ids[first[whole >= 0]] = whole[whole >= 0]
+    use = np.repeat(kept, sizes) > np.arange(len(ids)) - np.repeat(first, sizes)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), pa.array(ids[use]))
+
+
+def split(text: Column) -> tuple[Column, Column]:
+    """The pre-tokens of a text, null if the JVM cannot tell them, and the text if so."""
+    odd = (F.length(text) != F.octet_length(text)) & text.rlike(r"\p{Cn}")
+    return F.when(~odd, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))), F.when(odd, text)
+
+
+def common_words(docs: DataFrame) -> pa.Array:
+    """At most COMMON words, the most frequent of SAMPLE documents chosen by a hash of the id, sorted."""
+    ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    words = docs.join(F.broadcast(ids), "doc_id").select(F.explode(split(F.col("text"))[0]).alias("word")).where(F.octet_length("word").between(2, LONGEST))
+    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON).select("word").toArrow().column(0).combine_chunks()
+    return top.take(pc.sort_indices(top))
+
+
 def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with_ids adds ids (array<int>) and decoded (binary)."""
     ranks = read_ranks(path or default_path())
     spark = bounded_batches(docs.sparkSession, 2048)
     byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
     table, p, q = rank_literal(ranks)
+    fold = _let(table, lambda t: F.transform("fresh", lambda w: encode_word(w, t, p, q))).alias("ids")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    common = common_words(docs)
+    arrays = byte_arrays([w.encode() for w in common.to_pylist()], ranks, byte_id)
+    step = 2048
+    rows = pa.table({"k": pa.array(range(0, len(common), step), pa.int64()), "fresh": pa.array([arrays.slice(a, step).to_pylist() for a in range(0, len(common), step)], pa.list_(pa.list_(pa.int32())))})
+    done = spark.createDataFrame(rows).repartition(64).select("k", fold).toArrow().sort_by("k").column("ids").combine_chunks() if len(common) else None
+    common_off, common_ids = (done.values.offsets.to_numpy(), done.values.values.to_numpy()) if done is not None else (np.zeros(1, np.int32), np.zeros(0, np.int32))
 
     def number(batches):
         """Each batch of texts as word numbers of its task, with the words that have not come before in the generation."""
         import regex
 
-        seen, generation, split = {}, 0, regex.compile(ORIGINAL)
+        seen, generation, cut = {}, 0, regex.compile(ORIGINAL)
         for batch in batches:
             words, text = batch.column("words"), batch.column("text")
             if words.null_count:  # a null text, or one to be split here
-                words = pa.array([split.findall(t or "") if w is None else w for w, t in zip(words.to_pylist(), text.to_pylist(), strict=True)], pa.list_(pa.string()))
+                words = pa.array([cut.findall(t or "") if w is None else w for w, t in zip(words.to_pylist(), text.to_pylist(), strict=True)], pa.list_(pa.string()))
             flat = pc.dictionary_encode(words.flatten())
             if len(seen) > GENERATION:
                 seen, generation = {}, generation + 1
-            at, fresh = np.empty(len(flat.dictionary), np.int32), []
-            for k, word in enumerate(flat.dictionary.to_pylist()):
+            at = pc.fill_null(pc.index_in(flat.dictionary, common), -1).to_numpy(zero_copy_only=False).astype(np.int32)
+            new, fresh = np.flatnonzero(at < 0), []
+            for k, word in zip(new.tolist(), flat.dictionary.take(pa.array(new)).to_pylist(), strict=True):
                 n = seen.get(word)
                 if n is None:
                     n = seen[word] = len(seen)
                     fresh.append(word.encode())
-                at[k] = n
+                at[k] = len(common) + n
             idx = at[flat.indices.to_numpy()] if len(flat) else at
-            lens = words.value_lengths().to_numpy()
-            whole = np.array([ranks.get(w, -1) if len(w) <= LONGEST else -2 for w in fresh], np.int64)
-            sizes = np.array([len(w) for w in fresh], np.int64)
-            ids, kept = byte_id[np.frombuffer(b"".join(fresh), np.uint8)], np.where(whole >= 0, 1, np.where(whole == -1, sizes, 0))
-            first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            ids[first[whole >= 0]] = whole[whole >= 0]
-            use = np.repeat(kept, sizes) > np.arange(len(ids)) - np.repeat(first, sizes)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), pa.array(ids[use]))
             one = lambda x, t: pa.array([x], pa.list_(t))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([generation], pa.int32()), one(batch.column("doc_id").to_pylist(), pa.int64()), one(lens, pa.int32()), one(idx, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), lists), one([w for w, n in zip(fresh, whole.tolist(), strict=True) if n == -2], pa.binary()),
+                    pa.array([generation], pa.int32()), one(batch.column("doc_id").to_pylist(), pa.int64()), one(words.value_lengths().to_numpy(), pa.int32()), one(idx, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), byte_arrays(fresh, ranks, byte_id)), one([w for w in fresh if len(w) > LONGEST], pa.binary()),
                 ],
                 ["generation", "doc_id", "lens", "idx", "fresh", "long"],
             )
@@ -169,7 +199,16 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
         pieces = [b""] * (max(ranks.values()) + 1)
         for w, rank in ranks.items():
             pieces[rank] = w
-        pieces, long, generation, said, made, known = pa.array(pieces, pa.binary()), None, -1, None, None, None
+        pieces, long, generation = pa.array(pieces, pa.binary()), None, -1
+
+        def spell(ids: pa.ListArray) -> tuple[pa.Array, pa.Array, pa.ListArray]:
+            """Each word's ids in decimal, its bytes, and its ids."""
+            off = pa.array(np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int32))
+            flat = ids.flatten()
+            again = lambda x: pa.ListArray.from_arrays(off, x)
+            return pc.binary_join(again(flat.cast(pa.string())), " "), pc.binary_join(again(pieces.take(flat)), b""), again(flat)
+
+        first = spell(pa.ListArray.from_arrays(pa.array(common_off), pa.array(common_ids)))
         for batch in batches:
             for k in range(batch.num_rows):
                 g, doc_id, lens, idx, new, rest = (batch.column(x)[k] for x in ("generation", "doc_id", "lens", "idx", "ids", "long"))
@@ -180,34 +219,25 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
                     long = long or tiktoken.Encoding("own", pat_str=ORIGINAL, mergeable_ranks=ranks, special_tokens={})
                     todo = iter([long._encode_single_piece(w) for w in rest.as_py()])
                     new = pa.array([x or next(todo) for x in new.to_pylist()], pa.list_(pa.int32()))
-                off = pa.array(np.concatenate([[0], np.cumsum(new.value_lengths().to_numpy())]).astype(np.int32))
-                flat = new.flatten()
-                text = pc.binary_join(pa.ListArray.from_arrays(off, flat.cast(pa.string())), " ")
-                raw = pc.binary_join(pa.ListArray.from_arrays(off, pieces.take(flat)), b"")
                 if g.as_py() != generation:
-                    generation, said, made, known = g.as_py(), text, raw, new
-                else:
-                    said, made, known = pa.concat_arrays([said, text]), pa.concat_arrays([made, raw]), pa.concat_arrays([known, new])
+                    generation, known = g.as_py(), first
+                known = tuple(pa.concat_arrays([x, y]) for x, y in zip(known, spell(new), strict=True))
                 idx, edge = idx.values, np.concatenate([[0], np.cumsum(lens.values.to_numpy())])
                 lists = lambda x, e=edge: pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), x)
-                spoken = pc.binary_join(lists(said.take(idx)), " ").to_pylist()
-                joined = pc.binary_join(lists(made.take(idx)), b"").to_pylist()
-                total = np.concatenate([[0], np.cumsum(known.value_lengths().to_numpy()[idx.to_numpy()])])
+                spoken = pc.binary_join(lists(known[0].take(idx)), " ").to_pylist()
+                joined = pc.binary_join(lists(known[1].take(idx)), b"").to_pylist()
+                total = np.concatenate([[0], np.cumsum(known[2].value_lengths().to_numpy()[idx.to_numpy()])])
                 cols = [doc_id.values, pa.array(total[edge[1:]] - total[edge[:-1]], pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in spoken]), pa.array([hashlib.sha256(x).hexdigest() for x in joined])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    cols += [pa.ListArray.from_arrays(pa.array(total[edge].astype(np.int32)), known.take(idx).flatten()), pa.array(joined, pa.binary())]
+                    cols += [pa.ListArray.from_arrays(pa.array(total[edge].astype(np.int32)), known[2].take(idx).flatten()), pa.array(joined, pa.binary())]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    text = F.col("text")
-    odd = (F.length(text) != F.octet_length(text)) & text.rlike(r"\p{Cn}")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(odd, text).alias("text"), F.when(~odd, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("words"))
-    numbered = rows.mapInArrow(number, "generation int, doc_id array<long>, lens array<int>, idx array<int>, fresh array<array<int>>, long array<binary>")
-    ids = _let(table, lambda t: F.transform("fresh", lambda w: encode_word(w, t, p, q)))
-    encoded = numbered.select("generation", "doc_id", "lens", "idx", ids.alias("ids"), "long")
+    words, odd = split(F.col("text"))
+    numbered = docs.select("doc_id", odd.alias("text"), words.alias("words")).mapInArrow(number, "generation int, doc_id array<long>, lens array<int>, idx array<int>, fresh array<array<int>>, long array<binary>")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_ids else "")
-    return encoded.mapInArrow(assemble, schema)
+    return numbered.select("generation", "doc_id", "lens", "idx", fold, "long").mapInArrow(assemble, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
