@@ -39,8 +39,9 @@ def append(store: DataFrame, rows: DataFrame, once: bool = False) -> DataFrame:
     known = rows.select(*[(F.col(f"`{c}`").cast("string") if c in rows.columns else F.lit(None).cast("string")).alias(c) for c in fixed.COLUMNS])
     known = known.withColumn("Region", F.coalesce("Region", F.lit("Unknown")))
     if once:
-        keys = ["Source PDF", "Page", "Record No."]
-        known = known.join(store.select(*keys), [known[k].eqNullSafe(store[k]) for k in keys], "left_anti").dropDuplicates(keys)
+        keys = {"_pdf": "`Source PDF`", "_page": "Page", "_number": "`Record No.`"}
+        known = known.withColumns({k: F.coalesce(F.col(c), F.lit("")) for k, c in keys.items()}).dropDuplicates(list(keys))
+        known = known.join(store.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(k) for k, c in keys.items()]), list(keys), "left_anti").drop(*keys)
     return store.unionByName(known, allowMissingColumns=True)
 
 

@@ -51,7 +51,7 @@ def extractions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def audit_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_TYPE).option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"').csv(path)
+    return spark.read.schema(AUDIT_TYPE).option("header", True).option("escape", '"').csv(path).fillna("")
 
 
 def corrections(spark: SparkSession, path: str) -> DataFrame:
@@ -78,11 +78,11 @@ def write_records(store: DataFrame, path: str) -> None:
 
 
 def append_audit(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").option("header", True).option("quoteAll", True).option("emptyValue", "").csv(path)
+    rows.write.mode("append").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
 def write_disagreements(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    df.coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def read_strips(pending: DataFrame, make_reader: Callable[[], Callable], attempts: int = 4, pause: Callable[[float], None] | None = None) -> DataFrame:
