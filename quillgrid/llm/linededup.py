@@ -152,8 +152,8 @@ def _bytes_of(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["key", "row", "stays", "first", "bytes", "before", "after"])
 
 
-def repeats(docs: DataFrame, tables: Tables) -> DataFrame:
-    """row, first and past of the lines that repeat what an earlier place holds. docs: row, doc_id, text."""
+def candidates(docs: DataFrame, tables: Tables) -> DataFrame:
+    """row and spans: the chunks of each document to compare, those that may go and those that stay. docs: row, doc_id, text."""
     found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(_chunk_rows, "doc_id long, row long, seed byte, key long, first int, past int"))
     place = F.struct("doc_id", "row", "first")
     often = found.groupBy("key").agg(F.min(place).alias("home"), F.max(place).alias("other")).where("home <> other").select("key", "home")
@@ -165,10 +165,15 @@ def repeats(docs: DataFrame, tables: Tables) -> DataFrame:
     homes = again.join(mine.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("home_row").alias("row"), F.first("home_first").alias("first"), F.first(F.col("past") - F.col("first")).alias("n"))
     span = lambda stays: F.struct("key", "first", "past", F.lit(stays).alias("stays"))
     listed = mine.select("row", span(False).alias("s")).union(homes.select("row", "key", "first", (F.col("first") + F.col("n")).alias("past")).select("row", span(True).alias("s")))
-    held = docs.join(listed.groupBy("row").agg(F.collect_list("s").alias("spans")), "row").select("row", "text", "spans").dropDuplicates(["row"])
-    parts = tables.keep(held.mapInArrow(_bytes_of, "key long, row long, stays boolean, first int, bytes binary, before array<binary>, after array<binary>"))
+    out = tables.keep(listed.groupBy("row").agg(F.collect_list("s").alias("spans")))
     tables.drop(again, mine)
-    there = parts.where("stays").select("key", F.col("bytes").alias("b"), F.col("before").alias("b0"), F.col("after").alias("b1"))
+    return out
+
+
+def repeats(held: DataFrame, tables: Tables) -> DataFrame:
+    """row, first and past of the lines that repeat what an earlier place holds. held: row, text and spans of candidates()."""
+    parts = tables.keep(held.mapInArrow(_bytes_of, "key long, row long, stays boolean, first int, bytes binary, before array<binary>, after array<binary>"))
+    there = parts.where("stays").select("key", F.col("bytes").alias("b"), F.col("before").alias("b0"), F.col("after").alias("b1")).dropDuplicates(["key"])
     equal = parts.where("NOT stays").join(there, "key").where(F.col("bytes") == F.col("b"))
 
     def run(x: str, y: str):
@@ -211,9 +216,12 @@ def remove(docs: DataFrame) -> DataFrame:
     tables = Tables(spark, "linededup")
     keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("string"), "text"))
     base = keyed.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = tables.keep(repeats(base, tables))
+    # texts are shuffled once to meet their candidates; after that only documents that have some are moved
+    met = tables.keep(keyed.join(candidates(base, tables).select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left"))
+    spans = tables.keep(repeats(met.where("_spans IS NOT NULL").select(F.col("_row").alias("row"), "text", F.col("_spans").alias("spans")), tables))
     gone = spans.groupBy(F.col("row").alias("_row")).agg(F.collect_set(F.struct("first", "past")).alias("gone"))
-    joined = keyed.join(gone, "_row", "left").drop("_row")
+    some, rest = met.where("_spans IS NOT NULL").drop("_spans"), met.where("_spans IS NULL").drop("_spans")
+    joined = some.join(gone, "_row", "left").unionByName(rest, allowMissingColumns=True).drop("_row")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("gone", "text")]
     out = joined.mapInArrow(_without, ", ".join([*fields, "text string", "n_lines long", "n_removed long"]))
     if "n_chars" in docs.columns:
