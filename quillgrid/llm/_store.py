@@ -25,10 +25,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def bounded_batches(spark: SparkSession, rows: int = 512) -> SparkSession:
+def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -> SparkSession:
     """Arrow batches of few rows: texts can be long, and a Python worker holds a whole batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     return spark
 
 

@@ -37,9 +37,9 @@ _SPACE = r"\t-\r \x85\xa0" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _WI
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 ORIGINAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bits of an id, bytes of a word that is folded, distinct words that a task remembers, and no rank.
-BITS, LONGEST, GENERATION, NONE = 20, 192, 300_000, 2147483647
+BITS, LONGEST, GENERATION, NONE = 20, 192, 200_000, 2147483647
 #: Documents of which the commonest words are encoded beforehand, and how many words; both bound a cache and nothing else.
-SAMPLE, COMMON = 20_000, 1 << 19
+SAMPLE, COMMON = 20_000, 1 << 18
 
 
 def default_path() -> str:
@@ -152,7 +152,7 @@ def common_words(docs: DataFrame) -> pa.Array:
 def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with_ids adds ids (array<int>) and decoded (binary)."""
     ranks = read_ranks(path or default_path())
-    spark = bounded_batches(docs.sparkSession, 2048)
+    spark = bounded_batches(docs.sparkSession, 512, 2 << 20)
     byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
     table, p, q = rank_literal(ranks)
     fold = _let(table, lambda t: F.transform("fresh", lambda w: encode_word(w, t, p, q))).alias("ids")
