@@ -37,9 +37,9 @@ _SPACE = r"\t-\r \x85\xa0" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _WI
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 ORIGINAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bits of an id, bytes of a word that is folded, distinct words that a task remembers, and no rank.
-BITS, LONGEST, GENERATION, NONE = 20, 192, 200_000, 2147483647
+BITS, LONGEST, GENERATION, NONE = 20, 192, 300_000, 2147483647
 #: Documents of which the commonest words are encoded beforehand, and how many words; both bound a cache and nothing else.
-SAMPLE, COMMON = 20_000, 1 << 18
+SAMPLE, COMMON = 20_000, 1 << 19
 
 
 def default_path() -> str:
@@ -159,9 +159,9 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     common = common_words(docs)
-    arrays = byte_arrays([w.encode() for w in common.to_pylist()], ranks, byte_id)
-    step = 2048
-    rows = pa.table({"k": pa.array(range(0, len(common), step), pa.int64()), "fresh": pa.array([arrays.slice(a, step).to_pylist() for a in range(0, len(common), step)], pa.list_(pa.list_(pa.int32())))})
+    arrays, step = byte_arrays([w.encode() for w in common.to_pylist()], ranks, byte_id), 2048
+    cuts = np.append(np.arange(0, len(common), step), len(common)).astype(np.int32)
+    rows = pa.table({"k": pa.array(cuts[:-1].astype(np.int64)), "fresh": pa.ListArray.from_arrays(pa.array(cuts), arrays)})
     done = spark.createDataFrame(rows).repartition(64).select("k", fold).toArrow().sort_by("k").column("ids").combine_chunks() if len(common) else None
     common_off, common_ids = (done.values.offsets.to_numpy(), done.values.values.to_numpy()) if done is not None else (np.zeros(1, np.int32), np.zeros(0, np.int32))
 
