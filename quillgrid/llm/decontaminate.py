@@ -83,13 +83,12 @@ def alignments(index: DataFrame, words: DataFrame, cut: DataFrame, n_places: int
     terms = words.select("item", F.posexplode("words").alias("at", "word")).join(anchors, ["item", "at"]).select("item", "at", F.xxhash64("word").alias("term"))
     met = (
         index.join(small(terms, n_places), "term")
-        .where(F.col("pos") >= F.col("at"))
         .select("row", "item", (F.col("pos") - F.col("at")).alias("shift"), "at")
         .groupBy("row", "item", "shift")
         .agg(F.collect_set("at").alias("met"))
     )
     whole = small(cut, n_places)
-    return met.join(whole, "item").where(F.size(F.array_intersect("anchors", "met")) == F.size("anchors")).select("row", "item", "shift", "off", "len")
+    return met.join(whole, "item").where(F.size(F.array_intersect("anchors", "met")) == F.size("anchors")).where("shift + off >= 0").select("row", "item", "shift", "off", "len")
 
 
 def matches(docs: DataFrame, items: DataFrame, tables: Tables | None = None) -> tuple[DataFrame, DataFrame]:

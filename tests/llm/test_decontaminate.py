@@ -51,9 +51,13 @@ def test_against_brute_force(spark, monkeypatch, few):
     docs += [(1000 + k, t) for k, (_, t) in enumerate(ODD)] + [docs[0], docs[3], (3, "another text the of"), (None, docs[6][1]), (2000, "the " * 50)]
     table = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.report(documents(spark, docs), table).collect()
-    assert collections.Counter(tuple(r) for r in got) == brute(docs, [(i, t) for i, t in items if i is not None] + [("", items[-2][1])]) or collections.Counter(tuple(r)[:3] for r in got) == collections.Counter(k[:3] for k in brute(docs, items).elements())
+    named = [(i, t) for i, t in items if i is not None]  # an item without an id is matched, and not listed
+    every, listed = brute(docs, items), brute(docs, named)
+    assert collections.Counter(tuple(r)[:3] for r in got) == collections.Counter(k[:3] for k in every.elements())
+    assert collections.Counter((r.doc_id, r.n_words, r.items_sha256) for r in got) == collections.Counter((k[0], k[1], k[4]) for k in listed.elements())
+    assert collections.Counter((r.doc_id, r.contaminated) for r in got) == collections.Counter((k[0], k[5]) for k in every.elements())
     kept = decontaminate.drop_contaminated(documents(spark, docs), table)
-    clean = collections.Counter({k[0]: 0 for k in ()})
+    clean = collections.Counter()
     for k, n in brute(docs, items).items():
         clean[k[0]] += n * (not k[5])
     assert collections.Counter(r.doc_id for r in kept.collect()) == +clean and kept.columns == documents(spark, docs).columns

@@ -78,8 +78,9 @@ def test_components_of_a_long_path(spark):
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(2)
     for n, share in ((300, 0.9), (5000, 0.75), (40, 0.8)):
-        both = rng.integers(0, 2**63, int(n * share), dtype=np.uint64)
-        sets = [np.unique(np.concatenate([both, rng.integers(0, 2**63, int(n * (1 - share) / 2), dtype=np.uint64) + np.uint64(2**62)])) for _ in range(2)]
+        fresh = lambda k: rng.integers(0, 2**64, int(k), dtype=np.uint64)
+        both = fresh(n * share)
+        sets = [np.unique(np.concatenate([both, fresh(n * (1 - share) / 2)])) for _ in range(2)]
         true = len(np.intersect1d(*sets)) / len(np.union1d(*sets))
         bits = neardup.odd_sketch(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
         x = [np.frombuffer(b.tobytes(), np.uint64) for b in bits]
