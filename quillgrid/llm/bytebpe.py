@@ -169,22 +169,19 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
         """Each batch of texts as word numbers of its task, with the words that have not come before in the generation."""
         import regex
 
-        seen, generation, cut = {}, 0, regex.compile(ORIGINAL)
+        known, generation, cut = common, 0, regex.compile(ORIGINAL)
         for batch in batches:
             words, text = batch.column("words"), batch.column("text")
             if words.null_count:  # a null text, or one to be split here
                 words = pa.array([cut.findall(t or "") if w is None else w for w, t in zip(words.to_pylist(), text.to_pylist(), strict=True)], pa.list_(pa.string()))
             flat = pc.dictionary_encode(words.flatten())
-            if len(seen) > GENERATION:
-                seen, generation = {}, generation + 1
-            at = pc.fill_null(pc.index_in(flat.dictionary, common), -1).to_numpy(zero_copy_only=False).astype(np.int32)
-            new, fresh = np.flatnonzero(at < 0), []
-            for k, word in zip(new.tolist(), flat.dictionary.take(pa.array(new)).to_pylist(), strict=True):
-                n = seen.get(word)
-                if n is None:
-                    n = seen[word] = len(seen)
-                    fresh.append(word.encode())
-                at[k] = len(common) + n
+            if len(known) > len(common) + GENERATION:
+                known, generation = common, generation + 1
+            at = pc.index_in(flat.dictionary, known)
+            new = flat.dictionary.filter(at.is_null())
+            at = at.fill_null(-1).to_numpy().copy()
+            at[at < 0] = len(known) + np.arange(len(new))
+            known, fresh = pa.concat_arrays([known, new]), [w.encode() for w in new.to_pylist()]
             idx = at[flat.indices.to_numpy()] if len(flat) else at
             one = lambda x, t: pa.array([x], pa.list_(t))
             yield pa.RecordBatch.from_arrays(
