@@ -18,8 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of lines that repeat an earlier place go, and documents that consist of them alone."""
-    return linededup.drop_repeats(docs)
+    """Passages of lines that repeat an earlier place go, and documents that consist of them alone; copies of documents are left to the next stage."""
+    return linededup.drop_repeats(docs, leave_revisions=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -218,7 +218,8 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
                     new = pa.array([x or next(todo) for x in new.to_pylist()], pa.list_(pa.int32()))
                 if g.as_py() != generation:
                     generation, known = g.as_py(), first
-                known = tuple(pa.concat_arrays([x, y]) for x, y in zip(known, spell(new), strict=True))
+                if len(new):
+                    known = tuple(pa.concat_arrays([x, y]) if len(x) else y for x, y in zip(known, spell(new), strict=True))
                 idx, edge = idx.values, np.concatenate([[0], np.cumsum(lens.values.to_numpy())])
                 lists = lambda x, e=edge: pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), x)
                 spoken = pc.binary_join(lists(known[0].take(idx)), " ").to_pylist()

@@ -15,6 +15,10 @@ chunk or a document is hot.
 Cases: a null or empty text has no chunk and stays; a text that loses every line becomes empty, and drop_repeats()
 drops its row; rows equal in id and text are one document, treated alike; null ids sort first. Lines end at "\\n" alone;
 an only line is never a chunk.
+
+With leave_revisions, a document that goes line by line with an earlier one (as many lines, and equal chunks at the
+same lines that make up two fifths of it) keeps its text: it is a copy of a document and no place of a
+passage, and near-duplicate detection, which would no longer know its remains, is to decide on it.
 """
 
 from __future__ import annotations
@@ -110,8 +114,8 @@ def _chunk_rows(batches):
                 a, b = a[use], b[use]
                 key = mix((total[b] - total[a]) * inverse_powers(len(lines.hash) + 1)[a] + (b - a).astype(np.uint64) * _PART)
                 own = pa.array(lines.doc[a])
-                first = a - lines.off[lines.doc[a]]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(own), part.column("row").take(own), pa.array(np.full(len(a), seed, np.int8)), pa.array(key.view(np.int64)), pa.array(first.astype(np.int32)), pa.array((first + b - a).astype(np.int32))], ["doc_id", "row", "seed", "key", "first", "past"])
+                first, total_lines = a - lines.off[lines.doc[a]], np.bincount(lines.doc, minlength=part.num_rows)[lines.doc[a]]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(own), part.column("row").take(own), pa.array(np.full(len(a), seed, np.int8)), pa.array(key.view(np.int64)), pa.array(first.astype(np.int32)), pa.array((first + b - a).astype(np.int32)), pa.array(total_lines.astype(np.int32))], ["doc_id", "row", "seed", "key", "first", "past", "lines"])
 
 
 def cover(spans: list[dict]) -> list[dict]:
@@ -125,12 +129,26 @@ def cover(spans: list[dict]) -> list[dict]:
     return out
 
 
-def _covers(batches):
-    """For each document, as few of its repeated chunks as cover their lines."""
-    for batch in batches:
-        rows = [(row, s["key"], s["first"], s["past"]) for row, spans in zip(batch.column("row").to_pylist(), batch.column("spans").to_pylist(), strict=True) for s in cover(spans)]
-        cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["row", "key", "first", "past"])
+def is_revision(spans: list[dict]) -> bool:
+    """Whether the spans that are at the same lines as in an earlier document of as many lines make up two fifths of the document."""
+    near = [s for s in spans if s["first"] == s["home_first"] and s["lines"] == s["home_lines"]]
+    return 2.5 * len({k for s in near for k in range(s["first"], s["past"])}) >= max((s["lines"] for s in near), default=1)
+
+
+def _covers(leave_revisions: bool):
+    def run(batches):
+        """For each document, as few of its repeated chunks as cover their lines."""
+        for batch in batches:
+            rows = [
+                (row, s["key"], s["first"], s["past"])
+                for row, spans in zip(batch.column("row").to_pylist(), batch.column("spans").to_pylist(), strict=True)
+                if not (leave_revisions and is_revision(spans))
+                for s in cover(spans)
+            ]
+            cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["row", "key", "first", "past"])
+
+    return run
 
 
 def _bytes_of(batches):
@@ -152,16 +170,16 @@ def _bytes_of(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["key", "row", "stays", "first", "bytes", "before", "after"])
 
 
-def candidates(docs: DataFrame, tables: Tables) -> DataFrame:
+def candidates(docs: DataFrame, tables: Tables, leave_revisions: bool = False) -> DataFrame:
     """row and spans: the chunks of each document to compare, those that may go and those that stay. docs: row, doc_id, text."""
-    found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(_chunk_rows, "doc_id long, row long, seed byte, key long, first int, past int"))
-    place = F.struct("doc_id", "row", "first")
+    found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(_chunk_rows, "doc_id long, row long, seed byte, key long, first int, past int, lines int"))
+    place = F.struct("doc_id", "row", "first", "lines")
     often = found.groupBy("key").agg(F.min(place).alias("home"), F.max(place).alias("other")).where("home <> other").select("key", "home")
-    again = found.join(often, "key").where(place != F.col("home")).select("row", "key", "first", "past", F.col("home.row").alias("home_row"), F.col("home.first").alias("home_first"))
+    again = found.join(often, "key").where(place != F.col("home")).select("row", "key", "first", "past", "lines", F.col("home.row").alias("home_row"), F.col("home.first").alias("home_first"), F.col("home.lines").alias("home_lines"))
     again = tables.keep(again.dropDuplicates(["row", "key", "first"]))
     tables.drop(found)
-    own = again.groupBy("row").agg(F.collect_list(F.struct("key", "first", "past")).alias("spans"))  # bounded by a document's own lines
-    mine = tables.keep(own.mapInArrow(_covers, "row long, key long, first int, past int"))
+    own = again.groupBy("row").agg(F.collect_list(F.struct("key", "first", "past", "lines", "home_first", "home_lines")).alias("spans"))  # bounded by a document's own lines
+    mine = tables.keep(own.mapInArrow(_covers(leave_revisions), "row long, key long, first int, past int"))
     homes = again.join(mine.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("home_row").alias("row"), F.first("home_first").alias("first"), F.first(F.col("past") - F.col("first")).alias("n"))
     span = lambda stays: F.struct("key", "first", "past", F.lit(stays).alias("stays"))
     listed = mine.select("row", span(False).alias("s")).union(homes.select("row", "key", "first", (F.col("first") + F.col("n")).alias("past")).select("row", span(True).alias("s")))
@@ -210,14 +228,14 @@ def _without(batches):
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], [*names, "text", "n_lines", "n_removed"])
 
 
-def remove(docs: DataFrame) -> DataFrame:
+def remove(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
     """docs with their repeated passages removed from text (n_chars follows, where there is one), and n_lines and n_removed."""
     spark = bounded_batches(docs.sparkSession)
     tables = Tables(spark, "linededup")
     keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("string"), "text"))
     base = keyed.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     # texts are shuffled once to meet their candidates; after that only documents that have some are moved
-    met = tables.keep(keyed.join(candidates(base, tables).select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left"))
+    met = tables.keep(keyed.join(candidates(base, tables, leave_revisions).select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left"))
     spans = tables.keep(repeats(met.where("_spans IS NOT NULL").select(F.col("_row").alias("row"), "text", F.col("_spans").alias("spans")), tables))
     gone = spans.groupBy(F.col("row").alias("_row")).agg(F.collect_set(F.struct("first", "past")).alias("gone"))
     some, rest = met.where("_spans IS NOT NULL").drop("_spans"), met.where("_spans IS NULL").drop("_spans")
@@ -229,9 +247,9 @@ def remove(docs: DataFrame) -> DataFrame:
     return out.select(*docs.columns, "n_lines", "n_removed")
 
 
-def drop_repeats(docs: DataFrame) -> DataFrame:
+def drop_repeats(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
     """remove(), without the rows that have lost every line, and with the columns of docs alone."""
-    return remove(docs).where("n_removed = 0 OR n_removed < n_lines").select(*docs.columns)
+    return remove(docs, leave_revisions).where("n_removed = 0 OR n_removed < n_lines").select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
