@@ -144,7 +144,7 @@ def sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return total[off[1:]] - total[off[:-1]]
 
 
-def pieces(batch: pa.RecordBatch, column: str, size: int = 1 << 22):
+def pieces(batch: pa.RecordBatch, column: str, size: int = 1 << 20):
     """The batch in slices of at most size bytes of text, or of one row."""
     col = batch.column(column)
     _, offs = buffers(col)
