@@ -442,13 +442,69 @@ def stored_per_document(spark, d):
     return records.stored(_store(spark, d))
 
 
-@query()
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in fixed.LEGEND) + ") v(name, marker, colour)")
 def legend(spark, d):
     return records.legend(spark)
 
 
 # --- progress and audit ---
 
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'Center: c' || CAST(o_custkey % 9 AS STRING) END || CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 2 = 1 THEN ', ' ELSE '' END || CASE WHEN o_orderkey % 2 = 1 THEN 'Year: ' || CAST(extract(year FROM o_orderdate) AS STRING) ELSE '' END AS context FROM orders
+""")
+def page_context(spark, d):
+    k = F.col("o_orderkey")
+    center = F.when(k % 3 != 0, F.concat(F.lit("c"), (F.col("o_custkey") % 9).cast("string")))
+    return ad.table(spark, d, "orders").select("o_orderkey", text.context(center, F.when(k % 2 == 1, F.year("o_orderdate").cast("string"))).alias("context"))
+
+
+@query("""
+SELECT 'doc' || CAST(c_custkey AS STRING) AS pdf, CASE WHEN c_custkey % 3 = 0 THEN 'yes' ELSE 'partial' END AS extracted, c_custkey % 40 AS records,
+  CASE WHEN c_custkey % 3 = 0 THEN 'Completed 2020-01-02.' WHEN c_custkey % 5 <> 0 THEN 'Partial through page ' || CAST(c_custkey % 5 AS STRING) || '/9 2020-01-02.' ELSE 'Updated 2020-01-02.' END AS notes FROM customer
+""")
+def stored_updates(spark, d):
+    k = F.col("c_custkey")
+    up = progress.stored_update(F.concat(F.lit("doc"), k.cast("string")), k % 40, k % 3 == 0, k % 5, F.lit(9), F.lit("2020-01-02"))
+    return ad.table(spark, d, "customer").select(*up).drop("optimized")
+
+
+@query("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'n | ' ELSE 'V:partial | ' END || CASE WHEN c_custkey % 4 = 0 THEN 'V:partial' ELSE 'V:through p' || CAST(c_custkey % 4 AS STRING) END AS notes FROM customer")
+def verified_notes(spark, d):
+    k = F.col("c_custkey")
+    return ad.table(spark, d, "customer").select("c_custkey", progress.verified_note(F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, "n").otherwise("V:partial"), k % 4).alias("notes"))
+
+
+@query("SELECT event_id, 'T' AS timestamp, CASE WHEN event_id % 3 = 0 THEN 'own' ELSE 'all' END AS source_pdf, CAST(user_id AS STRING) AS page, event_type AS field, CASE WHEN event_id % 2 = 0 THEN '' ELSE 'v' END AS stored_value FROM events")
+def audit_rows(spark, d):
+    k = F.col("event_id")
+    c = ad.table(spark, d, "events").select(F.when(k % 3 == 0, "own").alias("pdf"), F.col("user_id").alias("page"), k.alias("record_no"), F.col("event_type").alias("field"), F.when(k % 2 == 1, "v").alias("stored"), F.lit("x").alias("reread"), F.lit("MATCH").alias("result"))
+    return audit.log_rows(c, "T", "all").select(F.col("record_no").cast("long").alias("event_id"), "timestamp", "source_pdf", "page", "field", "stored_value")
+
+
+@query("SELECT DISTINCT o_custkey AS stem FROM orders WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier)")
+def resumed_pages(spark, d):
+    pages = ad.table(spark, d, "orders").select(F.col("o_custkey").alias("stem")).distinct()
+    return reconcile.resumed(pages, ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("stem")))
+
+
+@query(f"WITH s AS ({ad.strips_sql()}) SELECT stem, idx, CASE WHEN time_hh = '' AND time_mm = '' AND am_pm = '' THEN '' ELSE trim(time_hh || ':' || time_mm || ' ' || am_pm) END AS clock FROM s")
+def clock_times(spark, d):
+    v = lambda n: F.col("fields")[n]["value"]
+    return ad.plain_strips(spark, d).select("stem", "idx", text.clock(v("time_hh"), v("time_mm"), v("am_pm")).alias("clock"))
+
+
+@query(f"WITH s AS ({ad.strips_sql()}) SELECT stem, idx, CASE WHEN conf = 'low' OR conf = 'illegible' THEN '{','.join(n for n in fixed.SCALARS if n in ad.GIVEN)},treatments[0],treatments[1]' ELSE '' END AS fields FROM s")
+def low_confidence_fields(spark, d):
+    f = F.col("fields")
+    treatments = F.array(f["treatment_line1"], f["treatment_line2"])
+    return ad.plain_strips(spark, d).select("stem", "idx", export.low_confidence({n: f[n] for n in fixed.SCALARS}, treatments).alias("fields"))
+
+
+@query()
+def audit_pick(spark, d):
+    return audit.pick(_cells(spark, d), 3, 11)
+
 _P = f"WITH p AS ({ad.for_duckdb(ad.PROGRESS)})"
 
 
