@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._store import bounded_batches
+from ._text import buffers
 
 #: The code points of white space beyond ASCII and Latin-1, the pre-tokenising pattern with white space
 #: spelt out for Java, and its original for the regex module.
@@ -124,14 +125,22 @@ def encode_word(ids: Column, table: Column, p: int, q: int) -> Column:
     return F.when(F.size(ids) < 2, ids).otherwise(F.aggregate(F.slice(ids, 2, F.size(ids)), start, step, lambda s: s["w"]))
 
 
-def byte_arrays(words: list[bytes], ranks: dict[bytes, int], byte_id: np.ndarray) -> pa.ListArray:
-    """For each word the ids of its bytes; its own id alone if it is in the vocabulary; nothing if it is too long to be folded."""
-    whole = np.array([ranks.get(w, -1) if len(w) <= LONGEST else -2 for w in words], np.int64)
-    sizes = np.array([len(w) for w in words], np.int64)
-    ids, kept = byte_id[np.frombuffer(b"".join(words), np.uint8)], np.where(whole >= 0, 1, np.where(whole == -1, sizes, 0))
-    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    ids[first[whole >= 0]] = whole[whole >= 0]
-    use = np.repeat(kept, sizes) > np.arange(len(ids)) - np.repeat(first, sizes)
+def vocabulary(ranks: dict[bytes, int]) -> pa.Array:
+    """The piece of each id, null where an id has none."""
+    pieces: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for w, rank in ranks.items():
+        pieces[rank] = w
+    return pa.array(pieces, pa.binary())
+
+
+def byte_arrays(words: pa.Array, pieces: pa.Array, byte_id: np.ndarray) -> pa.ListArray:
+    """For each word (binary) the ids of its bytes; its own id alone if it is in the vocabulary; nothing if it is too long to be folded."""
+    raw, off = buffers(words)
+    sizes, whole = np.diff(off), pc.fill_null(pc.index_in(words, pieces), -1).to_numpy(zero_copy_only=False)
+    whole = np.where(sizes <= LONGEST, whole, -2)
+    ids, kept = byte_id[raw], np.where(whole >= 0, 1, np.where(whole == -1, sizes, 0))
+    ids[off[:-1][whole >= 0]] = whole[whole >= 0]
+    use = np.repeat(kept, sizes) > np.arange(len(ids)) - np.repeat(off[:-1], sizes)
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), pa.array(ids[use]))
 
 
@@ -153,13 +162,13 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with_ids adds ids (array<int>) and decoded (binary)."""
     ranks = read_ranks(path or default_path())
     spark = bounded_batches(docs.sparkSession, 512, 2 << 20)
-    byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+    byte_id, pieces = np.array([ranks[bytes([b])] for b in range(256)], np.int32), vocabulary(ranks)
     table, p, q = rank_literal(ranks)
     fold = _let(table, lambda t: F.transform("fresh", lambda w: encode_word(w, t, p, q))).alias("ids")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     common = common_words(docs)
-    arrays, step = byte_arrays([w.encode() for w in common.to_pylist()], ranks, byte_id), 2048
+    arrays, step = byte_arrays(common.cast(pa.binary()), pieces, byte_id), 2048
     cuts = np.append(np.arange(0, len(common), step), len(common)).astype(np.int32)
     rows = pa.table({"k": pa.array(cuts[:-1].astype(np.int64)), "fresh": pa.ListArray.from_arrays(pa.array(cuts), arrays)})
     done = spark.createDataFrame(rows).repartition(64).select("k", fold).toArrow().sort_by("k").column("ids").combine_chunks() if len(common) else None
@@ -181,22 +190,19 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
             new = flat.dictionary.filter(at.is_null())
             at = at.fill_null(-1).to_numpy().copy()
             at[at < 0] = len(known) + np.arange(len(new))
-            known, fresh = pa.concat_arrays([known, new]), [w.encode() for w in new.to_pylist()]
+            known, fresh = pa.concat_arrays([known, new]), new.cast(pa.binary())
             idx = at[flat.indices.to_numpy()] if len(flat) else at
             one = lambda x, t: pa.array([x], pa.list_(t))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([generation], pa.int32()), one(batch.column("doc_id").to_pylist(), pa.int64()), one(words.value_lengths().to_numpy(), pa.int32()), one(idx, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), byte_arrays(fresh, ranks, byte_id)), one([w for w in fresh if len(w) > LONGEST], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), byte_arrays(fresh, pieces, byte_id)), one(fresh.filter(pc.greater(pc.binary_length(fresh), LONGEST)).to_pylist(), pa.binary()),
                 ],
                 ["generation", "doc_id", "lens", "idx", "fresh", "long"],
             )
 
     def assemble(batches):
-        pieces = [b""] * (max(ranks.values()) + 1)
-        for w, rank in ranks.items():
-            pieces[rank] = w
-        pieces, long, generation = pa.array(pieces, pa.binary()), None, -1
+        long, generation = None, -1
 
         def spell(ids: pa.ListArray) -> tuple[pa.Array, pa.Array, pa.ListArray]:
             """Each word's ids in decimal, its bytes, and its ids."""
@@ -213,7 +219,7 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
                 if len(rest.values):
                     import tiktoken
 
-                    long = long or tiktoken.Encoding("own", pat_str=ORIGINAL, mergeable_ranks=ranks, special_tokens={})
+                    long = long or tiktoken.Encoding("own", pat_str=ORIGINAL, mergeable_ranks={w: k for k, w in enumerate(pieces.to_pylist()) if w is not None}, special_tokens={})
                     todo = iter([long._encode_single_piece(w) for w in rest.as_py()])
                     new = pa.array([x or next(todo) for x in new.to_pylist()], pa.list_(pa.int32()))
                 if g.as_py() != generation:
