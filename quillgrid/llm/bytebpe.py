@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._store import bounded_batches
-from ._text import buffers
+from ._text import buffers, mix, powers
 
 #: The code points of white space beyond ASCII and Latin-1, the pre-tokenising pattern with white space
 #: spelt out for Java, and its original for the regex module.
@@ -144,6 +144,44 @@ def byte_arrays(words: pa.Array, pieces: pa.Array, byte_id: np.ndarray) -> pa.Li
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), pa.array(ids[use]))
 
 
+_BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+
+
+def hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of non-empty words."""
+    raw, off = buffers(words)
+    if not len(raw):
+        return np.zeros(len(words), np.uint64)
+    sizes = np.diff(off)
+    held = _BYTE[raw] * powers(int(sizes.max()) + 1)[np.arange(len(raw)) - np.repeat(off[:-1], sizes)]
+    return mix(np.add.reduceat(held, off[:-1]) + sizes.astype(np.uint64))
+
+
+class Numbers:
+    """Numbers of words, by sorted hashes whose hits are compared with the words themselves."""
+
+    def __init__(self, words: pa.Array, base: int):
+        self.words, self.base, self.own = words, base, hashes(words)
+        self._sort()
+
+    def _sort(self) -> None:
+        self.order = np.argsort(self.own, kind="stable")
+        self.sorted = self.own[self.order]
+
+    def look_up(self, words: pa.Array, h: np.ndarray, out: np.ndarray) -> None:
+        """Fills in the numbers of words that are known and have none in out yet."""
+        if len(self.sorted):
+            k = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
+            hit = np.flatnonzero((self.sorted[k] == h) & (out < 0))
+            at = self.order[k[hit]]
+            same = pc.equal(words.take(pa.array(hit)), self.words.take(pa.array(at))).to_numpy(zero_copy_only=False)
+            out[hit[same]] = self.base + at[same]
+
+    def add(self, words: pa.Array, h: np.ndarray) -> None:
+        self.words, self.own = pa.concat_arrays([self.words, words]), np.concatenate([self.own, h])
+        self._sort()
+
+
 def split(text: Column) -> tuple[Column, Column]:
     """The pre-tokens of a text, null if the JVM cannot tell them, and the text if so."""
     odd = (F.length(text) != F.octet_length(text)) & text.rlike(r"\p{Cn}")
@@ -178,19 +216,23 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
         """Each batch of texts as word numbers of its task, with the words that have not come before in the generation."""
         import regex
 
-        known, generation, cut = common, 0, regex.compile(ORIGINAL)
+        first, generation, cut = Numbers(common, 0), 0, regex.compile(ORIGINAL)
+        seen = Numbers(common.slice(0, 0), len(common))
         for batch in batches:
             words, text = batch.column("words"), batch.column("text")
             if words.null_count:  # a null text, or one to be split here
                 words = pa.array([cut.findall(t or "") if w is None else w for w, t in zip(words.to_pylist(), text.to_pylist(), strict=True)], pa.list_(pa.string()))
             flat = pc.dictionary_encode(words.flatten())
-            if len(known) > len(common) + GENERATION:
-                known, generation = common, generation + 1
-            at = pc.index_in(flat.dictionary, known)
-            new = flat.dictionary.filter(at.is_null())
-            at = at.fill_null(-1).to_numpy().copy()
-            at[at < 0] = len(known) + np.arange(len(new))
-            known, fresh = pa.concat_arrays([known, new]), new.cast(pa.binary())
+            if len(seen.own) > GENERATION:
+                seen, generation = Numbers(common.slice(0, 0), len(common)), generation + 1
+            h, at = hashes(flat.dictionary), np.full(len(flat.dictionary), -1, np.int32)
+            for known in (first, seen):
+                known.look_up(flat.dictionary, h, at)
+            new = np.flatnonzero(at < 0)
+            at[new] = len(common) + len(seen.own) + np.arange(len(new))
+            fresh = flat.dictionary.take(pa.array(new))
+            seen.add(fresh, h[new])
+            fresh = fresh.cast(pa.binary())
             idx = at[flat.indices.to_numpy()] if len(flat) else at
             one = lambda x, t: pa.array([x], pa.list_(t))
             yield pa.RecordBatch.from_arrays(
