@@ -625,7 +625,10 @@ def upright_decision(spark, d):
     return each.select("page", grid.upside_down(F.col("top"), F.col("bottom")).alias("flip"))
 
 
-@query("WITH s AS (SELECT l_orderkey AS page, l_linenumber % 3 AS channel, round(stddev_pop(l_quantity), 9) AS s FROM lineitem GROUP BY 1, 2) SELECT page, CAST(arg_min(channel, -s * 10 + channel * CAST(1e-9 AS DOUBLE)) AS INT) AS channel FROM s GROUP BY page")
+@query("""
+WITH s AS (SELECT l_orderkey AS page, l_linenumber % 3 AS channel, round(stddev_pop(l_quantity), 9) AS s FROM lineitem GROUP BY 1, 2)
+SELECT page, CAST(channel AS INT) AS channel FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY s DESC, channel) AS n FROM s) r WHERE n = 1
+""")
 def best_channel(spark, d):
     lines = ad.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), (F.col("l_linenumber") % 3).cast("int").alias("channel"), F.col("l_quantity").alias("value"))
     return grid.best_channel(lines)
