@@ -32,7 +32,7 @@ from ._store import Tables, bounded_batches
 from ._text import Words, mix, pieces
 
 #: Fixed parameters. LEAST over WHOLE is the least similarity of a link.
-BANDS, ROWS, SAMPLES, BITS, DOUBT, BLOCK, WORDS, LEAST, WHOLE = 40, 4, 1024, 2048, 0.65, 512, 5, 75, 100
+BANDS, ROWS, SAMPLES, BITS, DOUBT, BLOCK, WORDS, LEAST, WHOLE = 40, 4, 1024, 2048, 0.65, 4096, 5, 75, 100
 _rng = np.random.default_rng(75)
 _A = _rng.integers(1, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _rng.integers(1, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)

@@ -50,7 +50,7 @@ def near_copies(n=120, seed=1):
     return rows
 
 
-@pytest.mark.parametrize("block", [512, 4])
+@pytest.mark.parametrize("block", [4096, 4])
 def test_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)  # small blocks take the refined and dealt-out path
     rows = near_copies() + [(5000 + k, t) for k, (_, t) in enumerate(ODD)] + [(None, "no id"), (None, "no id"), (5003, "one")]
