@@ -32,6 +32,28 @@ def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -
     return spark
 
 
+def tidy(run):
+    """run, a batch function, giving freed memory back to the system at its end: Spark keeps the worker for later tasks."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return inner
+
+
 class Tables:
     """Parquet tables of one query, which cut its lineage and outlive any executor."""
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import Tables, bounded_batches
+from ._store import Tables, bounded_batches, tidy
 
 #: Fixed parameters: rows that fit the centroids, most lists, share of true neighbours that probed lists are to hold, rows
 #: that measure it, fewest lists probed, slices, codes of a slice, rows reranked in a list chunk, rows of a chunk, queries
@@ -118,7 +118,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             codes = np.column_stack([nearest(rest[:, a:b], book) for a, b, book in zip(cuts[:-1], cuts[1:], books, strict=True)]).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), batch.column("vec_id"), pa.array([r.tobytes() for r in codes], pa.binary()), pa.array([r.tobytes() for r in x], pa.binary())], ["list", "vec_id", "code", "vec"])
 
-    stored = tables.keep(once(vectors).mapInArrow(assign, "list int, vec_id long, code binary, vec binary"))
+    stored = tables.keep(once(vectors).mapInArrow(tidy(assign), "list int, vec_id long, code binary, vec binary"))
     sizes = np.zeros(len(index.centroids), np.int64)
     for r in stored.groupBy("list").count().collect():  # at most MOST_LISTS numbers
         sizes[r["list"]] = r["count"]
@@ -136,7 +136,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             raw = pa.array([r.tobytes() for r in x], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column("vec_id").take(pa.array(row)), raw.take(pa.array(row))], ["list", "query_id", "vec"])
 
-    probes = tables.keep(once(queries).mapInArrow(probe, "list int, query_id long, vec binary"))
+    probes = tables.keep(once(queries).mapInArrow(tidy(probe), "list int, query_id long, vec binary"))
     asked = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}
     parts = F.broadcast(spark.createDataFrame([(i, int(-(-int(n) // CHUNK)), -(-asked.get(i, 0) // QUERIES)) for i, n in enumerate(sizes.tolist()) if n and asked.get(i)], "list int, chunks int, blocks int"))
     left = stored.join(parts, "list").select("list", F.pmod(F.xxhash64("vec_id"), "chunks").cast("int").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "code", "vec")

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import bounded_batches
+from ._store import bounded_batches, tidy
 from ._text import buffers, mix, powers
 
 #: The code points of white space beyond ASCII and Latin-1, the pre-tokenising pattern with white space
@@ -38,9 +38,9 @@ _SPACE = r"\t-\r \x85\xa0" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _WI
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 ORIGINAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bits of an id, bytes of a word that is folded, distinct words that a task remembers, and no rank.
-BITS, LONGEST, GENERATION, NONE = 20, 192, 300_000, 2147483647
+BITS, LONGEST, GENERATION, NONE = 20, 192, 150_000, 2147483647
 #: Documents of which the commonest words are encoded beforehand, and how many words; both bound a cache and nothing else.
-SAMPLE, COMMON = 20_000, 1 << 19
+SAMPLE, COMMON = 8_000, 1 << 17
 
 
 def default_path() -> str:
@@ -281,9 +281,9 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     words, odd = split(F.col("text"))
-    numbered = docs.select("doc_id", odd.alias("text"), words.alias("words")).mapInArrow(number, "generation int, doc_id array<long>, lens array<int>, idx array<int>, fresh array<array<int>>, long array<binary>")
+    numbered = docs.select("doc_id", odd.alias("text"), words.alias("words")).mapInArrow(tidy(number), "generation int, doc_id array<long>, lens array<int>, idx array<int>, fresh array<array<int>>, long array<binary>")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_ids else "")
-    return numbered.select("generation", "doc_id", "lens", "idx", fold, "long").mapInArrow(assemble, schema)
+    return numbered.select("generation", "doc_id", "lens", "idx", fold, "long").mapInArrow(tidy(assemble), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import Tables, bounded_batches
+from ._store import Tables, bounded_batches, tidy
 from ._text import buffers, mix, pieces, powers
 
 #: Fixed parameters: lines of the rolling hash, chunkings, neighbouring lines compared at each side.
@@ -172,14 +172,14 @@ def _bytes_of(batches):
 
 def candidates(docs: DataFrame, tables: Tables, leave_revisions: bool = False) -> DataFrame:
     """row and spans: the chunks of each document to compare, those that may go and those that stay. docs: row, doc_id, text."""
-    found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(_chunk_rows, "doc_id long, row long, seed byte, key long, first int, past int, lines int"))
+    found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(tidy(_chunk_rows), "doc_id long, row long, seed byte, key long, first int, past int, lines int"))
     place = F.struct("doc_id", "row", "first", "lines")
     often = found.groupBy("key").agg(F.min(place).alias("home"), F.max(place).alias("other")).where("home <> other").select("key", "home")
     again = found.join(often, "key").where(place != F.col("home")).select("row", "key", "first", "past", "lines", F.col("home.row").alias("home_row"), F.col("home.first").alias("home_first"), F.col("home.lines").alias("home_lines"))
     again = tables.keep(again.dropDuplicates(["row", "key", "first"]))
     tables.drop(found)
     own = again.groupBy("row").agg(F.collect_list(F.struct("key", "first", "past", "lines", "home_first", "home_lines")).alias("spans"))  # bounded by a document's own lines
-    mine = tables.keep(own.mapInArrow(_covers(leave_revisions), "row long, key long, first int, past int"))
+    mine = tables.keep(own.mapInArrow(tidy(_covers(leave_revisions)), "row long, key long, first int, past int"))
     homes = again.join(mine.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("home_row").alias("row"), F.first("home_first").alias("first"), F.first(F.col("past") - F.col("first")).alias("n"))
     span = lambda stays: F.struct("key", "first", "past", F.lit(stays).alias("stays"))
     listed = mine.select("row", span(False).alias("s")).union(homes.select("row", "key", "first", (F.col("first") + F.col("n")).alias("past")).select("row", span(True).alias("s")))
@@ -190,7 +190,7 @@ def candidates(docs: DataFrame, tables: Tables, leave_revisions: bool = False) -
 
 def repeats(held: DataFrame, tables: Tables) -> DataFrame:
     """row, first and past of the lines that repeat what an earlier place holds. held: row, text and spans of candidates()."""
-    parts = tables.keep(held.mapInArrow(_bytes_of, "key long, row long, stays boolean, first int, bytes binary, before array<binary>, after array<binary>"))
+    parts = tables.keep(held.mapInArrow(tidy(_bytes_of), "key long, row long, stays boolean, first int, bytes binary, before array<binary>, after array<binary>"))
     there = parts.where("stays").select("key", F.col("bytes").alias("b"), F.col("before").alias("b0"), F.col("after").alias("b1")).dropDuplicates(["key"])
     equal = parts.where("NOT stays").join(there, "key").where(F.col("bytes") == F.col("b"))
 
@@ -241,7 +241,7 @@ def remove(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
     some, rest = met.where("_spans IS NOT NULL").drop("_spans"), met.where("_spans IS NULL").drop("_spans")
     joined = some.join(gone, "_row", "left").unionByName(rest, allowMissingColumns=True).drop("_row")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("gone", "text")]
-    out = joined.mapInArrow(_without, ", ".join([*fields, "text string", "n_lines long", "n_removed long"]))
+    out = joined.mapInArrow(tidy(_without), ", ".join([*fields, "text string", "n_lines long", "n_removed long"]))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns, "n_lines", "n_removed")

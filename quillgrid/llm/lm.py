@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._labels import held_out
-from ._store import Tables, bounded_batches
+from ._store import Tables, bounded_batches, tidy
 from ._text import Words, mix, pieces
 
 #: Fixed parameters: classes of words, bytes of text in a block, width of the vectors, noise words per word, steps.
@@ -150,7 +150,7 @@ def scores(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
     spark = bounded_batches(docs.sparkSession)
     tables = Tables(spark, "lm")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", modulus, remainder).alias("held_out"), "text")
-    blocks = tables.keep(rows.mapInArrow(_blocks, "block long, doc_id array<long>, held_out array<boolean>, lens array<int>, idx array<int>, words array<long>, tf array<int>, ending array<tinyint>"), rows_per_file=4)
+    blocks = tables.keep(rows.mapInArrow(tidy(_blocks), "block long, doc_id array<long>, held_out array<boolean>, lens array<int>, idx array<int>, words array<long>, tf array<int>, ending array<tinyint>"), rows_per_file=4)
 
     # a word of a block as (hash, place, 64 times its training count plus its ending)
     places = blocks.select("block", F.posexplode(F.arrays_zip("words", "tf", "ending")).alias("k", "w")).select(
@@ -181,7 +181,7 @@ def scores(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
         for a in range(0, len(code), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(code[a : a + (1 << 16)], pa.int32()), pa.array(seen[code[a : a + (1 << 16)]])], ["code", "n"])
 
-    got = blocks.select("words", "ending", "idx", "lens", "held_out").mapInArrow(trigrams, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    got = blocks.select("words", "ending", "idx", "lens", "held_out").mapInArrow(tidy(trigrams), "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     whole = np.zeros(CLASSES**3)
     whole[got.column("code").to_numpy()] = got.column("n").to_numpy()
     model = train(whole.reshape(CLASSES**2, CLASSES))

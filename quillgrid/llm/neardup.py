@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import Tables, bounded_batches
+from ._store import Tables, bounded_batches, tidy
 from ._text import Words, mix, pieces
 
 #: Fixed parameters. LEAST over WHOLE is the least similarity of a link.
@@ -176,9 +176,9 @@ def _confirmed(batches):
 def confirm(docs: DataFrame, pairs: DataFrame, tables: Tables) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; each set is shuffled once for a side and once a pair."""
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    own = tables.keep(docs.select("doc_id", "text").join(ends, "doc_id", "left_semi").mapInArrow(_as_sets, "doc_id long, items binary").dropDuplicates(["doc_id"]))
+    own = tables.keep(docs.select("doc_id", "text").join(ends, "doc_id", "left_semi").mapInArrow(tidy(_as_sets), "doc_id long, items binary").dropDuplicates(["doc_id"]))
     side = lambda k, v: own.select(F.col("doc_id").alias(k), F.col("items").alias(v))
-    out = tables.keep(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_confirmed, "a long, b long"))
+    out = tables.keep(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(tidy(_confirmed), "a long, b long"))
     tables.drop(own)
     return out
 
@@ -206,7 +206,7 @@ def groups(docs: DataFrame) -> DataFrame:
     spark = bounded_batches(docs.sparkSession)
     tables = Tables(spark, "neardup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = tables.keep(docs.mapInArrow(_sketches, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"))
+    every = tables.keep(docs.mapInArrow(tidy(_sketches), "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"))
     some = every.where("n_shingles > 0 and doc_id is not null")
     classes = tables.keep(some.groupBy("digest").agg(F.min("doc_id").alias("rep")))
     reps = some.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
@@ -217,7 +217,7 @@ def groups(docs: DataFrame) -> DataFrame:
     near = tables.keep(reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch").join(members.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]))
     side = lambda x: near.select(F.col("doc").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     stars = members.where("doc <> centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct()
-    likely = tables.keep(stars.join(side("b"), "b").join(side("a"), "a").mapInArrow(_likely, "a long, b long"))
+    likely = tables.keep(stars.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidy(_likely), "a long, b long"))
     first = confirm(docs, likely, tables)
     known = tables.keep(components(first, tables))
 
@@ -237,7 +237,7 @@ def groups(docs: DataFrame) -> DataFrame:
         F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("g"), "doc", "comp", F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side")
     )
     work = small.union(dealt).join(near, "doc").select("g", "doc", "comp", "side", "n", "sketch")
-    found = work.repartition("g").sortWithinPartitions("g", "doc").mapInArrow(_cross, "a long, b long").distinct()
+    found = work.repartition("g").sortWithinPartitions("g", "doc").mapInArrow(tidy(_cross), "a long, b long").distinct()
     second = confirm(docs, tables.keep(found), tables)
     final = tables.keep(components(first.union(second), tables))
 

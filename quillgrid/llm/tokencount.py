@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import bounded_batches
+from ._store import bounded_batches, tidy
 
 #: The library's pre-tokenising pattern with its white space spelt out, the texts the JVM may cut, and
 #: the pre-tokens that a task remembers.
@@ -100,7 +100,7 @@ def counts(docs: DataFrame, path: str | None = None, limit: int = 2048) -> DataF
         F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
         F.when(~plain, text).alias("text"), F.when(plain, F.regexp_extract_all(F.lower(text), F.lit(PATTERN), F.lit(0))).alias("words"),
     )
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, n_whole long")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean, n_whole long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._labels import SAMPLE_ROWS, held_out, labelled, logistic, sigmoid
-from ._store import bounded_batches
+from ._store import bounded_batches, tidy
 from ._text import Words, pieces
 
 #: Fixed parameters: weight of the prior as a share of all tokens, least z of a scored unit, most scored units, cost
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0
     """Learns from at most `rows` labelled documents outside the fold crc32(doc_id) mod modulus = remainder."""
     bounded_batches(docs.sparkSession)
     sample = labelled(docs, labels, "toxic", modulus, remainder, rows)
-    counts = sample.mapInArrow(_count_words, "h long, clean long, toxic long").groupBy("h").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = sample.mapInArrow(tidy(_count_words), "h long, clean long, toxic long").groupBy("h").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     words, scores, p = lexicon(counts)
     model = Model(words, scores, (0.0, 0.0), np.zeros(0))
     if not (scores > 0).any():
@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0
             found = [[x for _, _, x in segments(s[a:b])] for a, b in zip(w.off[:-1], w.off[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(w.counts), pa.array(found, pa.list_(pa.float64()))], ["y", "n", "s"])
 
-    got = sample.mapInArrow(best, "y int, n long, s array<double>").toArrow().to_pylist()
+    got = sample.mapInArrow(tidy(best), "y int, n long, s array<double>").toArrow().to_pylist()
     clean = [(r["n"], max(r["s"], default=0.0)) for r in got if r["y"] == 0 and r["n"]]
     total = sum(n * np.exp(-rate * s) for n, s in clean)
     model.law = rate, len(clean) / total if total else 1.0
@@ -199,7 +199,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     bounded_batches(docs.sparkSession)
     schema = "doc_id long, score double, n_tokens long, passages array<struct<first:int,past:int,score:double>>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), schema)
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -220,7 +220,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
     if not len(model.curve):
         return docs
     bounded_batches(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
