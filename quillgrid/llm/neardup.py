@@ -120,16 +120,25 @@ def _likely(batches):
 
 
 def _cross(batches):
-    """Within each run of equal g (sorted): likely pairs of members of different groups; sides 0 and 1 are compared with each other, side 2 within itself."""
+    """Within each run of equal g (sorted): likely pairs of members of different groups.
+
+    Sides 0 and 1 are compared with each other, sides 2 and 3 within themselves. Side 2 is a bucket, of which g is the key: a pair
+    is told in the first of the buckets that it shares, and not again in the others.
+    """
 
     def pairs(rows: pa.Table):
         doc, comp, n, side = (rows.column(x).to_numpy() for x in ("doc", "comp", "n", "side"))
         x = _words64(rows.column("sketch").combine_chunks())
+        g = rows.column("g")[0].as_py()
+        keys = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(doc), -1) if side[0] == 2 else None
         for i in range(len(doc)):
-            j = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((side[i + 1 :] != side[i]) | (side[i] == 2))) + i + 1
+            j = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((side[i + 1 :] != side[i]) | (side[i] >= 2))) + i + 1
             j = j[WHOLE * np.minimum(n[j], n[i]) >= LEAST * np.maximum(n[j], n[i])]
             if len(j):
                 j = j[similarity(x[i], x[j]) >= DOUBT]
+                if keys is not None and len(j):
+                    shared = (keys[j] == keys[i]) & (keys[i] != 0)
+                    j = j[keys[i][shared.argmax(1)] == g]
                 yield from ((min(doc[i], d), max(doc[i], d)) for d in doc[j].tolist())
 
     def out(found: list):
@@ -214,7 +223,7 @@ def groups(docs: DataFrame) -> DataFrame:
     rows = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("doc"))
     centres = rows.groupBy("key").agg(F.min("doc").alias("centre"), F.count("*").alias("size")).where("size > 1")
     members = tables.keep(rows.join(centres, "key"))
-    near = tables.keep(reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch").join(members.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]))
+    near = tables.keep(reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "bands").join(members.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]))
     side = lambda x: near.select(F.col("doc").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     stars = members.where("doc <> centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct()
     likely = tables.keep(stars.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidy(_likely), "a long, b long"))
@@ -234,9 +243,12 @@ def groups(docs: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     dealt = finer.select("key", "doc", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("g"), "doc", "comp", F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side")
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("g"), "doc", "comp", F.when(F.col("own") == F.col("other"), 3).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side")
     )
-    work = small.union(dealt).join(near, "doc").select("g", "doc", "comp", "side", "n", "sketch")
+    # keys of large buckets are struck out, so that a pair is told in the first small bucket that it shares
+    struck = near.join(large.groupBy("doc").agg(F.collect_set("key").alias("large")), "doc", "left")
+    bands = F.transform("bands", lambda k: F.when(F.coalesce(F.array_contains("large", k), F.lit(False)), F.lit(0).cast("long")).otherwise(k))
+    work = small.union(dealt).join(struck.select("doc", "n", "sketch", bands.alias("bands")), "doc").select("g", "doc", "comp", "side", "n", "sketch", "bands")
     found = work.repartition("g").sortWithinPartitions("g", "doc").mapInArrow(tidy(_cross), "a long, b long").distinct()
     second = confirm(docs, tables.keep(found), tables)
     final = tables.keep(components(first.union(second), tables))
