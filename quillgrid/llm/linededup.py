@@ -1,11 +1,13 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by pairs of neighbouring lines, long lines, and content-defined chunks of lines.
 
+A passage is two neighbouring lines or more, not all empty, or a line of LONG bytes or more. Every pair of neighbouring lines and every
+long line is a chunk, so no passage is missed; longer chunks let a long passage travel in few pieces.
 Lines are hashed, and a rolling hash over WINDOW line hashes is taken at each line. A line begins a chunk where its
 rolling hash is smaller than those of both neighbours, so a boundary depends on a few lines around it only, equal
 passages are cut alike wherever they stand, and every chunk within a text has at least two lines. SEEDS such
-chunkings, of differently seeded hashes, let short passages be met as well. Chunks of two lines or more that occur in
-several documents, or again in one, stay in the first place (smallest doc_id, then row, then line) and go elsewhere, once their bytes
-equal the first's. While the neighbouring lines (AROUND at each side) are equal as well, they go too, so a passage that begins or
+chunkings, of differently seeded hashes, are taken. Chunks that occur in several documents, or again in one, stay in the first
+place (smallest doc_id, then row, then line) and go elsewhere, once their bytes equal the first's; a chunk that overlaps its own
+first place is no repeat of it. While the neighbouring lines (AROUND at each side) are equal as well, they go too, so a passage that begins or
 ends between boundaries is removed to its ends.
 
 Only chunk hashes are gathered over the corpus; bytes travel for repeated chunks alone, and of several repeated
@@ -14,7 +16,7 @@ chunk or a document is hot.
 
 Cases: a null or empty text has no chunk and stays; a text that loses every line becomes empty, and drop_repeats()
 drops its row; rows equal in id and text are one document, treated alike; null ids sort first. Lines end at "\\n" alone;
-an only line is never a chunk.
+a line under LONG bytes is never a chunk by itself.
 
 With leave_revisions, a document that goes line by line with an earlier one (as many lines, and equal chunks at the
 same lines that make up two fifths of it) keeps its text: it is a copy of a document and no place of a
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 from ._store import Tables, bounded_batches, tidy
 from ._text import buffers, mix, pieces, powers
 
-#: Fixed parameters: lines of the rolling hash, chunkings, neighbouring lines compared at each side.
-WINDOW, SEEDS, AROUND = 2, 6, 3
+#: Fixed parameters: lines of the rolling hash, chunkings, neighbouring lines compared at each side, bytes of a line that is a chunk.
+WINDOW, SEEDS, AROUND, LONG = 2, 6, 3, 200
 _rng = np.random.default_rng(44)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _SEED = _rng.integers(1, 2**63, (SEEDS, WINDOW), dtype=np.uint64) | np.uint64(1)
@@ -102,6 +104,19 @@ def chunks(h: np.ndarray, doc: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]
     return out
 
 
+def spans(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """First line of each distinct chunk and the line past its last: pairs of neighbouring lines, long lines, and the chunkings' chunks."""
+    size = lines.past - lines.start
+    pair = np.flatnonzero((lines.doc[1:] == lines.doc[:-1]) & (size[1:] + size[:-1] > 0))
+    one = np.flatnonzero(size >= LONG)
+    found = [(pair, pair + 2), (one, one + 1), *((a[b - a >= 2], b[b - a >= 2]) for a, b in chunks(lines.hash, lines.doc))]
+    both = np.unique(np.concatenate([a << 32 | b for a, b in found]))
+    a, b = both >> 32, both & 0xFFFFFFFF
+    some = np.concatenate([[0], np.cumsum(size)])
+    text = some[b] > some[a]  # a run of empty lines is no passage
+    return a[text], b[text]
+
+
 def _chunk_rows(batches):
     for batch in batches:
         for part in pieces(batch, "text"):
@@ -109,13 +124,11 @@ def _chunk_rows(batches):
             if not len(lines.start):
                 continue
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines.hash * powers(len(lines.hash) + 1)[: len(lines.hash)], dtype=np.uint64)])
-            for seed, (a, b) in enumerate(chunks(lines.hash, lines.doc)):
-                use = b - a >= 2
-                a, b = a[use], b[use]
-                key = mix((total[b] - total[a]) * inverse_powers(len(lines.hash) + 1)[a] + (b - a).astype(np.uint64) * _PART)
-                own = pa.array(lines.doc[a])
-                first, total_lines = a - lines.off[lines.doc[a]], np.bincount(lines.doc, minlength=part.num_rows)[lines.doc[a]]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(own), part.column("row").take(own), pa.array(np.full(len(a), seed, np.int8)), pa.array(key.view(np.int64)), pa.array(first.astype(np.int32)), pa.array((first + b - a).astype(np.int32)), pa.array(total_lines.astype(np.int32))], ["doc_id", "row", "seed", "key", "first", "past", "lines"])
+            a, b = spans(lines)
+            key = mix((total[b] - total[a]) * inverse_powers(len(lines.hash) + 1)[a] + (b - a).astype(np.uint64) * _PART)
+            own = pa.array(lines.doc[a])
+            first, total_lines = a - lines.off[lines.doc[a]], np.bincount(lines.doc, minlength=part.num_rows)[lines.doc[a]]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(own), part.column("row").take(own), pa.array(key.view(np.int64)), pa.array(first.astype(np.int32)), pa.array((first + b - a).astype(np.int32)), pa.array(total_lines.astype(np.int32))], ["doc_id", "row", "key", "first", "past", "lines"])
 
 
 def cover(spans: list[dict]) -> list[dict]:
@@ -172,10 +185,10 @@ def _bytes_of(batches):
 
 def candidates(docs: DataFrame, tables: Tables, leave_revisions: bool = False) -> DataFrame:
     """row and spans: the chunks of each document to compare, those that may go and those that stay. docs: row, doc_id, text."""
-    found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(tidy(_chunk_rows), "doc_id long, row long, seed byte, key long, first int, past int, lines int"))
+    found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(tidy(_chunk_rows), "doc_id long, row long, key long, first int, past int, lines int"))
     place = F.struct("doc_id", "row", "first", "lines")
     often = found.groupBy("key").agg(F.min(place).alias("home"), F.max(place).alias("other")).where("home <> other").select("key", "home")
-    again = found.join(often, "key").where(place != F.col("home")).select("row", "key", "first", "past", "lines", F.col("home.row").alias("home_row"), F.col("home.first").alias("home_first"), F.col("home.lines").alias("home_lines"))
+    again = found.join(often, "key").where(place != F.col("home")).where("row <> home.row OR first >= home.first + past - first").select("row", "key", "first", "past", "lines", F.col("home.row").alias("home_row"), F.col("home.first").alias("home_first"), F.col("home.lines").alias("home_lines"))
     again = tables.keep(again.dropDuplicates(["row", "key", "first"]))
     tables.drop(found)
     own = again.groupBy("row").agg(F.collect_list(F.struct("key", "first", "past", "lines", "home_first", "home_lines")).alias("spans"))  # bounded by a document's own lines

@@ -80,3 +80,24 @@ def test_lines_and_chunks():
     assert len(cuts[0]) == linededup.SEEDS
     for a, b in zip(*cuts):
         assert {c for c in a if c > 2} == {c for c in b if c > 2}
+
+
+def test_short_passages_are_always_met(spark):
+    rng = random.Random(5)
+    line = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(8))
+    rows, planted = [], {}
+    for k in range(120):
+        passage = [line() for _ in range(2 + k % 3)] if k % 4 else [" ".join(line() for _ in range(8))]
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, "\n".join([*(line() for _ in range(rng.randrange(1, 6))), *passage, *(line() for _ in range(rng.randrange(1, 6)))])))
+        planted[2 * k + 1] = passage
+    out = {r.doc_id: r for r in linededup.remove(documents(spark, rows)).collect()}
+    assert all(out[i].text == t and out[i].n_removed == 0 for i, t in rows if i not in planted)
+    for i, passage in planted.items():
+        assert out[i].text.split("\n") == [x for x in dict(rows)[i].split("\n") if x not in passage]
+
+
+def test_a_run_of_equal_or_empty_lines(spark):
+    rows = [(1, "a\na\na"), (2, "b\nb\nb\nb"), (3, "x\n\n\ny"), (4, "z\n\n\n\n\nv"), (5, "c d\nc e\nc d\nc e\nc d")]
+    got = {r.doc_id: r.text for r in linededup.remove(documents(spark, rows)).collect()}
+    assert got == {1: "a\na\na", 2: "b\nb", 3: "x\n\n\ny", 4: "z\n\n\n\n\nv", 5: "c d\nc e"}
