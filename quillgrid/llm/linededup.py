@@ -18,9 +18,11 @@ Cases: a null or empty text has no chunk and stays; a text that loses every line
 drops its row; rows equal in id and text are one document, treated alike; null ids sort first. Lines end at "\\n" alone;
 a line under LONG bytes is never a chunk by itself.
 
-With leave_revisions, a document that goes line by line with an earlier one (as many lines, and equal chunks at the
-same lines that make up two fifths of it) keeps its text: it is a copy of a document and no place of a
-passage, and near-duplicate detection, which would no longer know its remains, is to decide on it.
+With leave_revisions, a document that is a near copy of an earlier one keeps its text, so that near-duplicate detection, which would
+no longer know its remains, can remove it whole. A document is tried if it goes line by line with one earlier document (as many
+lines, and chunks first met there at the same lines that make up two fifths of it), and left if its whole text and what
+that document keeps have the similarity that near-duplicate detection asks for. Documents that are left are no such earlier
+document, nor are rows of the same or of a null id, which that detection does not remove. All others lose their passages.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import neardup
 from ._store import Tables, bounded_batches, tidy
 from ._text import buffers, mix, pieces, powers
 
@@ -142,26 +145,16 @@ def cover(spans: list[dict]) -> list[dict]:
     return out
 
 
-def is_revision(spans: list[dict]) -> bool:
-    """Whether the spans that are at the same lines as in an earlier document of as many lines make up two fifths of the document."""
-    near = [s for s in spans if s["first"] == s["home_first"] and s["lines"] == s["home_lines"]]
-    return 2.5 * len({k for s in near for k in range(s["first"], s["past"])}) >= max((s["lines"] for s in near), default=1)
-
-
-def _covers(leave_revisions: bool):
-    def run(batches):
-        """For each document, as few of its repeated chunks as cover their lines."""
-        for batch in batches:
-            rows = [
-                (row, s["key"], s["first"], s["past"])
-                for row, spans in zip(batch.column("row").to_pylist(), batch.column("spans").to_pylist(), strict=True)
-                if not (leave_revisions and is_revision(spans))
-                for s in cover(spans)
-            ]
-            cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["row", "key", "first", "past"])
-
-    return run
+def _covers(batches):
+    """For each document, as few of its repeated chunks as cover their lines."""
+    for batch in batches:
+        rows = [
+            (row, s["key"], s["first"], s["past"])
+            for row, spans in zip(batch.column("row").to_pylist(), batch.column("spans").to_pylist(), strict=True)
+            for s in cover(spans)
+        ]
+        cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["row", "key", "first", "past"])
 
 
 def _bytes_of(batches):
@@ -183,22 +176,31 @@ def _bytes_of(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["key", "row", "stays", "first", "bytes", "before", "after"])
 
 
-def candidates(docs: DataFrame, tables: Tables, leave_revisions: bool = False) -> DataFrame:
-    """row and spans: the chunks of each document to compare, those that may go and those that stay. docs: row, doc_id, text."""
+def candidates(docs: DataFrame, tables: Tables, leave_revisions: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """row, spans (the chunks of each document to compare, those that may go and those that stay) and tried (whether it is in a
+    pair that follows); with leave_revisions, pairs row and home_row of documents that may be near copies. docs: row, doc_id, text."""
     found = tables.keep(docs.where("text IS NOT NULL").mapInArrow(tidy(_chunk_rows), "doc_id long, row long, key long, first int, past int, lines int"))
     place = F.struct("doc_id", "row", "first", "lines")
     often = found.groupBy("key").agg(F.min(place).alias("home"), F.max(place).alias("other")).where("home <> other").select("key", "home")
-    again = found.join(often, "key").where(place != F.col("home")).where("row <> home.row OR first >= home.first + past - first").select("row", "key", "first", "past", "lines", F.col("home.row").alias("home_row"), F.col("home.first").alias("home_first"), F.col("home.lines").alias("home_lines"))
+    again = found.join(often, "key").where(place != F.col("home")).where("row <> home.row OR first >= home.first + past - first").select("row", "key", "first", "past", "lines", F.col("home.row").alias("home_row"), F.col("home.first").alias("home_first"), F.col("home.lines").alias("home_lines"), F.coalesce(F.col("doc_id") != F.col("home.doc_id"), F.lit(False)).alias("apart"))
     again = tables.keep(again.dropDuplicates(["row", "key", "first"]))
     tables.drop(found)
-    own = again.groupBy("row").agg(F.collect_list(F.struct("key", "first", "past", "lines", "home_first", "home_lines")).alias("spans"))  # bounded by a document's own lines
-    mine = tables.keep(own.mapInArrow(tidy(_covers(leave_revisions)), "row long, key long, first int, past int"))
+    own = again.groupBy("row").agg(F.collect_list(F.struct("key", "first", "past")).alias("spans"))  # bounded by a document's own lines
+    mine = tables.keep(own.mapInArrow(tidy(_covers), "row long, key long, first int, past int"))
     homes = again.join(mine.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("home_row").alias("row"), F.first("home_first").alias("first"), F.first(F.col("past") - F.col("first")).alias("n"))
     span = lambda stays: F.struct("key", "first", "past", F.lit(stays).alias("stays"))
     listed = mine.select("row", span(False).alias("s")).union(homes.select("row", "key", "first", (F.col("first") + F.col("n")).alias("past")).select("row", span(True).alias("s")))
-    out = tables.keep(listed.groupBy("row").agg(F.collect_list("s").alias("spans")))
+    listed, copies = listed.withColumn("tried", F.lit(False)), None
+    if leave_revisions:
+        # pairs of lines and long lines are all the equal lines that a passage can have, so longer chunks add none
+        same = again.where("apart AND first = home_first AND lines = home_lines AND past - first <= 2").groupBy("row", "home_row")
+        held = F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", F.col("past") - 1)))))
+        copies = tables.keep(same.agg(held.alias("held"), F.max("lines").alias("lines")).where("5 * held >= 2 * lines").select("row", "home_row"))
+        ends = copies.select("row").union(copies.select("home_row")).distinct()
+        listed = listed.union(ends.select("row", F.lit(None).cast(listed.schema["s"].dataType), F.lit(True)))
+    out = tables.keep(listed.groupBy("row").agg(F.collect_list("s").alias("spans"), F.max("tried").alias("tried")))
     tables.drop(again, mine)
-    return out
+    return out, copies
 
 
 def repeats(held: DataFrame, tables: Tables) -> DataFrame:
@@ -241,6 +243,18 @@ def _without(batches):
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], [*names, "text", "n_lines", "n_removed"])
 
 
+def revisions(docs: DataFrame, copies: DataFrame, tables: Tables) -> DataFrame:
+    """row of each document that is a near copy of what an earlier one keeps. docs: _row, text and gone; copies: row and home_row, the pairs to try."""
+    kept = lambda row: F.xxhash64(row, F.lit("kept"))
+    left = docs.mapInArrow(tidy(_without), "_row long, text string, n_lines long, n_removed long")
+    both = docs.select(F.col("_row").alias("doc_id"), "text").union(left.select(kept("_row"), "text"))
+    worded = both.where(F.col("text").rlike("[^ \\t-\\r]"))  # texts without words are linked with nothing
+    pairs = copies.select(kept("home_row").alias("a"), F.col("row").alias("b"))
+    sure = neardup.confirm(worded, pairs, tables).withColumnRenamed("b", "row")
+    # an earlier document that is left itself does not keep less, and is no place that stays
+    return sure.join(sure.select(kept("row").alias("a")).distinct(), "a", "left_anti").select("row").distinct()
+
+
 def remove(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
     """docs with their repeated passages removed from text (n_chars follows, where there is one), and n_lines and n_removed."""
     spark = bounded_batches(docs.sparkSession)
@@ -248,10 +262,15 @@ def remove(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
     keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("string"), "text"))
     base = keyed.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     # texts are shuffled once to meet their candidates; after that only documents that have some are moved
-    met = tables.keep(keyed.join(candidates(base, tables, leave_revisions).select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left"))
+    listed, copies = candidates(base, tables, leave_revisions)
+    met = tables.keep(keyed.join(listed.select(F.col("row").alias("_row"), F.col("spans").alias("_spans"), F.col("tried").alias("_tried")), "_row", "left"))
     spans = tables.keep(repeats(met.where("_spans IS NOT NULL").select(F.col("_row").alias("row"), "text", F.col("_spans").alias("spans")), tables))
     gone = spans.groupBy(F.col("row").alias("_row")).agg(F.collect_set(F.struct("first", "past")).alias("gone"))
-    some, rest = met.where("_spans IS NOT NULL").drop("_spans"), met.where("_spans IS NULL").drop("_spans")
+    if leave_revisions:
+        gone = tables.keep(gone)
+        tried = met.where("_tried").select("_row", "text").join(gone, "_row", "left")
+        gone = gone.join(tables.keep(revisions(tried, copies, tables)).withColumnRenamed("row", "_row"), "_row", "left_anti")
+    some, rest = met.where("_spans IS NOT NULL").drop("_spans", "_tried"), met.where("_spans IS NULL").drop("_spans", "_tried")
     joined = some.join(gone, "_row", "left").unionByName(rest, allowMissingColumns=True).drop("_row")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("gone", "text")]
     out = joined.mapInArrow(tidy(_without), ", ".join([*fields, "text string", "n_lines long", "n_removed long"]))

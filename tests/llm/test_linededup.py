@@ -101,3 +101,25 @@ def test_a_run_of_equal_or_empty_lines(spark):
     rows = [(1, "a\na\na"), (2, "b\nb\nb\nb"), (3, "x\n\n\ny"), (4, "z\n\n\n\n\nv"), (5, "c d\nc e\nc d\nc e\nc d")]
     got = {r.doc_id: r.text for r in linededup.remove(documents(spark, rows)).collect()}
     assert got == {1: "a\na\na", 2: "b\nb", 3: "x\n\n\ny", 4: "z\n\n\n\n\nv", 5: "c d\nc e"}
+
+
+def test_only_near_copies_are_left(spark):
+    rng = random.Random(8)
+    line = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(12))
+    passage, base, other = ([line() for _ in range(7)] for _ in range(3))
+    texts = {
+        1: [*(line() for _ in range(3)), *passage],
+        2: [*(line() for _ in range(3)), *passage],  # equal lines at equal places of an equally long document, similarity about 0.54
+        3: base,
+        4: [*base[:6], base[6] + " more"],  # a near copy
+        5: [*other, *passage],
+        6: [*other[:6], line(), *passage],  # a near copy of 5, but not of what 5 keeps
+        None: [*(line() for _ in range(6)), "end of null"],
+    }
+    texts[7] = [*texts[None][:6], line()]  # null ids take no part in near-duplicate detection
+    rows = [(i, "\n".join(t)) for i, t in texts.items()]
+    got = {r.doc_id: r.text.split("\n") for r in linededup.remove(documents(spark, rows), leave_revisions=True).collect()}
+    assert got[1] == texts[1] and got[2] == texts[2][:3]
+    assert got[3] == base and got[4] == texts[4]
+    assert got[5] == other and got[6] == [texts[6][6]]
+    assert got[None] == texts[None] and got[7] == texts[7][6:]
