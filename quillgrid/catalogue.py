@@ -643,7 +643,7 @@ def page_status(spark, d):
 
 
 def _drawn(spark, d):
-    """A table page for each of some users: a border, a header line and body lines, drawn by a page-wise batch function."""
+    """A table page for each user: a border, a header line and body lines, drawn by a page-wise batch function."""
     import numpy as np
     import pandas as pd
 
@@ -660,8 +660,9 @@ def _drawn(spark, d):
                 rows.append((str(page), 600, 850, 1, x.tobytes()))
             yield pd.DataFrame(rows, columns=["page", "height", "width", "channels", "data"])
 
-    ids = ad.table(spark, d, "events").select(F.col("user_id").alias("page")).distinct().where("page < 6")
-    return ids.mapInPandas(draw, "page string, height int, width int, channels int, data binary")
+    ids = ad.table(spark, d, "events").select(F.col("user_id").alias("page")).where("page IS NOT NULL").distinct()
+    # ids are a few bytes, which adaptive execution would put into one task; a page is half a megabyte and its work over a second
+    return ids.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page").mapInPandas(draw, "page string, height int, width int, channels int, data binary")
 
 
 @query()
@@ -670,5 +671,6 @@ def segmented_pages(spark, d):
     from quillgrid.operators import imaging
 
     found = imaging.segment_pages(_drawn(spark, d))
-    bounds = grid.page_bounds(found.select("page", "lines", F.lit(float(fixed.HEIGHT)).alias("height")))
-    return found.select("page", "status", "flipped").join(bounds.select("page", "bounds", "missed", "ok"), "page")
+    # what a page has travels with its name: a join would run the kernels twice
+    bounds = grid.page_bounds(found.select(F.struct("page", "status", "flipped").alias("page"), "lines", F.lit(float(fixed.HEIGHT)).alias("height")))
+    return bounds.select("page.*", "bounds", "missed", "ok")

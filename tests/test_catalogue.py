@@ -38,3 +38,8 @@ def test_entry_and_names(spark):
 def test_strips_of_a_page_are_folded_without_python_rows(spark, sf):
     plan = catalogue.QUERIES["merged_entities"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in plan
+
+
+def test_every_user_has_a_segmented_page(spark, sf, duck):
+    got = [r.page for r in catalogue.QUERIES["segmented_pages"](spark, sf).select("page").collect()]
+    assert sorted(got) == sorted(str(k) for (k,) in duck.execute("SELECT DISTINCT user_id FROM events").fetchall()) and len(got) > 6
