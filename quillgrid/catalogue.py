@@ -295,8 +295,13 @@ _PAGES = "SELECT DISTINCT stem FROM (" + ad.strips_sql() + ") s"
 
 @query(f"SELECT stem, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(stem, 'c([0-9]+)p', 1) AS BIGINT), CAST(regexp_extract(stem, 'p([0-9]+)', 1) AS BIGINT)) AS INT) AS place FROM ({_PAGES}) p ORDER BY place LIMIT 200")
 def natural_page_order(spark, d):
-    first = ad.plain_strips(spark, d).select("stem").distinct().orderBy(text.natural_key(F.col("stem"))).limit(200)
-    return first.select("stem", F.row_number().over(Window.orderBy(text.natural_key(F.col("stem")))).alias("place"))
+    """The first pages of natural_page_places."""
+    return export.places(ad.plain_strips(spark, d)).where("place <= 200")
+
+
+@query(f"SELECT stem, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(stem, 'c([0-9]+)p', 1) AS BIGINT), CAST(regexp_extract(stem, 'p([0-9]+)', 1) AS BIGINT)) AS INT) AS place FROM ({_PAGES}) p")
+def natural_page_places(spark, d):
+    return export.places(ad.plain_strips(spark, d))
 
 
 @query(_MERGE_SQL + f"SELECT (SELECT count(*) FROM ({_PAGES}) p) AS pages, count(*) AS entities FROM e")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgrid import fixed
@@ -42,6 +42,17 @@ def ordered(exported: DataFrame) -> DataFrame:
     return exported.orderBy(text.natural_key(F.col("page_stem")), "page_stem", "seq")
 
 
+def places(pages: DataFrame, ranges: int = 256) -> DataFrame:
+    """stem and place (from 1) of every distinct page in natural order. Pages are dealt into ranges between the keys of a sample of fixed size, so no window holds them all."""
+    own = pages.select("stem").distinct().withColumn("k", text.natural_key(F.col("stem")))
+    sample = own.orderBy(F.xxhash64("stem"), "stem").limit(ranges).agg(F.sort_array(F.collect_list("k")).alias("cuts"))
+    dealt = own.crossJoin(F.broadcast(sample)).select("stem", "k", F.size(F.filter("cuts", lambda c: c <= F.col("k"))).alias("range"))
+    n = dealt.groupBy("range").agg(F.count("*").alias("n"))
+    before = n.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))  # a row for each range
+    row = F.row_number().over(Window.partitionBy("range").orderBy("k", "stem"))
+    return dealt.join(F.broadcast(before), "range").select("stem", (F.col("before") + row).cast("int").alias("place"))
+
+
 def write_csv(exported: DataFrame, path: str) -> None:
     """One ordered CSV file with a header; empty values stay empty strings."""
     ordered(exported).coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"').csv(path)

@@ -43,3 +43,14 @@ def test_strips_of_a_page_are_folded_without_python_rows(spark, sf):
 def test_every_user_has_a_segmented_page(spark, sf, duck):
     got = [r.page for r in catalogue.QUERIES["segmented_pages"](spark, sf).select("page").collect()]
     assert sorted(got) == sorted(str(k) for (k,) in duck.execute("SELECT DISTINCT user_id FROM events").fetchall()) and len(got) > 6
+
+
+def test_every_page_has_its_place(spark, sf):
+    from quillgrid.operators import export
+
+    stems = [f"c{a}p{b}" for a in range(1, 40) for b in (1, 2, 10, 11, 100, 101)]
+    pages = spark.createDataFrame([(s,) for s in reversed(stems)], "stem string")
+    for ranges in (3, 256):
+        assert [r.stem for r in export.places(pages, ranges).orderBy("place").collect()] == stems
+    every = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert 200 < catalogue.QUERIES["natural_page_places"](spark, sf).count() <= every
