@@ -1,4 +1,4 @@
-"""Tables in the folder that driver and executors share, and session settings that bound a batch."""
+"""Tables in the folder that driver and executors share, and batch functions that give memory back."""
 
 from __future__ import annotations
 
@@ -25,13 +25,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -> SparkSession:
-    """Arrow batches of few rows: texts can be long, and a Python worker holds a whole batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
-    return spark
-
-
 def tidy(run):
     """run, a batch function, giving freed memory back to the system at its end: Spark keeps the worker for later tasks."""
 

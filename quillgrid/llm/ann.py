@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import Tables, bounded_batches, tidy
+from quillgrid.functions.batches import bounded
+
+from ._store import Tables, tidy
 
 #: Fixed parameters: rows that fit the centroids, most lists, share of true neighbours that probed lists are to hold, rows
 #: that measure it, fewest lists probed, slices, codes of a slice, rows reranked in a list chunk, rows of a chunk, queries
@@ -102,7 +104,7 @@ def fit(rows: DataFrame, k: int = 20, seed: int = 11) -> Index | None:
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest found of each query (vec_id, embedding) among vectors, itself excepted."""
-    spark = bounded_batches(vectors.sparkSession, 4096)
+    spark = bounded(vectors.sparkSession)
     tables = Tables(spark, "ann")
     index = fit(valid(vectors), k)
     if index is None:

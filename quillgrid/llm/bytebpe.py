@@ -2,15 +2,15 @@
 
 The pre-tokenising pattern runs in the JVM. A Python step numbers the words of a task, so that each distinct word of
 the task (or of a generation of GENERATION words, which bounds memory) is encoded once, and hands on its bytes as an
-array of byte ids. The COMMON most frequent words of SAMPLE documents are encoded once for all tasks; a word that is not
-among them is encoded by the task that meets it. Encoding is a fold: the state is the array of ids and the ranks of neighbouring pairs; each step
+array of byte ids, each with the rank of the pair that it begins. Encoding is a fold: each step
 merges the leftmost pair of least rank, whose rank is the id of the merged piece. Ranks come from one literal map from
 pairs of ids to ranks. Spark would walk a MAP to find a key, so the literal is an array in which a pair has two possible
-places (cuckoo hashing). Decoding takes each id's binary piece and concatenates them. No row is shuffled.
+places (cuckoo hashing). Decoding takes each id's binary piece and concatenates them. No row is shuffled, and nothing
+is collected.
 
-A word that is itself in the vocabulary is one token, as in the library. Words of more than LONGEST bytes are encoded
-by the library (the fold is quadratic in a word's length). Texts with code points that the JVM's Unicode tables do
-not know are split by the regex module instead.
+A word that is itself in the vocabulary is one token, as in the library. The array fold is quadratic in a word's length,
+so words of more than LONGEST bytes have the same merges folded over a linked list by a heap of ranks. Texts with code
+points that the JVM's Unicode tables do not know are split by the regex module instead.
 
 Cases: a null text is empty; an empty text has no ids and both digests are of nothing. Nulls in doc_id stay. Repeated
 rows are each encoded; other columns are ignored. The vocabulary file is a parameter and is read on the driver.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 
 import numpy as np
@@ -28,7 +29,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import bounded_batches, tidy
+from quillgrid.functions.batches import bounded
+
+from ._store import tidy
 from ._text import buffers, mix, powers
 
 #: The code points of white space beyond ASCII and Latin-1, the pre-tokenising pattern with white space
@@ -37,10 +40,8 @@ _WIDE = ((0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F),
 _SPACE = r"\t-\r \x85\xa0" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _WIDE)
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 ORIGINAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Bits of an id, bytes of a word that is folded, distinct words that a task remembers, and no rank.
-BITS, LONGEST, GENERATION, NONE = 20, 192, 150_000, 2147483647
-#: Documents of which the commonest words are encoded beforehand, and how many words; both bound a cache and nothing else.
-SAMPLE, COMMON = 8_000, 1 << 17
+#: Bits of an id, bytes of a word that is folded over arrays, distinct words that a task remembers, no rank, and an id that no piece has.
+BITS, LONGEST, GENERATION, NONE, END = 20, 192, 400_000, 1 << 30, (1 << 20) - 1
 
 
 def default_path() -> str:
@@ -62,18 +63,18 @@ def _prime(n: int) -> int:
 
 def rank_table(ranks: dict[bytes, int]) -> tuple[list[int], int, int]:
     """The pairs of ids whose pieces together are a piece, as a cuckoo table: entry (pair << BITS | rank) is at pair mod p, or at p + pair mod q."""
-    pairs = [(((ranks[w[:i]] << BITS) | ranks[w[i:]]) + 1, rank) for w, rank in ranks.items() for i in range(1, len(w)) if w[:i] in ranks and w[i:] in ranks]
+    pairs = [(ranks[w[:i]] << BITS | ranks[w[i:]], rank) for w, rank in ranks.items() for i in range(1, len(w)) if w[:i] in ranks and w[i:] in ranks]
     size = max(11, int(1.3 * len(pairs)))
     while True:
         p = _prime(size)
         q = _prime(p + 2)
-        table, key = [0] * (p + q), [0] * (p + q)
+        table, key = [-1] * (p + q), [-1] * (p + q)
         for k, rank in pairs:
             entry, at = (k << BITS) | rank, k % p
             for _ in range(200):
                 table[at], entry = entry, table[at]
                 key[at], k = k, key[at]
-                if not entry:
+                if entry < 0:
                     break
                 at = p + k % q if at == k % p else k % p
             else:
@@ -85,44 +86,69 @@ def rank_table(ranks: dict[bytes, int]) -> tuple[list[int], int, int]:
 
 def rank_literal(ranks: dict[bytes, int]) -> tuple[Column, int, int]:
     """The table as a column that the optimizer folds to one literal, and its two moduli."""
-    if max(ranks.values()) >> BITS:
-        raise ValueError(f"ids must be under 2^{BITS}")
+    if max(ranks.values()) >= END:
+        raise ValueError(f"ids must be under {END}")
     table, p, q = rank_table(ranks)
     return F.from_json(F.lit(json.dumps(table, separators=(",", ":"))), "array<bigint>"), p, q
 
 
 def _let(value: Column, body) -> Column:
-    """body of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
+    """body of a value that is computed once.
+
+    A fold over no elements whose last step is the body: the interpreter then never derives the body's type, which an element taken
+    of a transformed array makes it do at every evaluation, down to the leaves.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda acc, _: acc, body)
+
 
+def encode_word(pieces: Column, table: Column, p: int, q: int) -> Column:
+    """The ids of one word by folding merges over its bytes, laid out as byte_arrays() does: each piece as the rank of the pair
+    that it begins, then its id. The state's first element tells whether merges are left."""
+    long = lambda v: F.lit(v).cast("bigint")
+    mask = long((1 << BITS) - 1)
 
-def encode_word(ids: Column, table: Column, p: int, q: int) -> Column:
-    """The ids of one word, from those of its bytes, by folding merges."""
+    def piece(a: Column, b: Column) -> Column:
+        """Id a as it stands before id b."""
 
-    def rank(a: Column, b: Column) -> Column:
         def find(k: Column) -> Column:
             one, two = table[(k % p).cast("int")], table[(k % q + p).cast("int")]
-            own = lambda e: e.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
-            return F.when(F.shiftright(one, BITS) == k, own(one)).when(F.shiftright(two, BITS) == k, own(two)).otherwise(NONE)
+            rank = F.when(F.shiftright(one, BITS) == k, one.bitwiseAND(mask)).when(F.shiftright(two, BITS) == k, two.bitwiseAND(mask)).otherwise(long(NONE))
+            return F.shiftleft(rank, BITS).bitwiseOR(a)
 
-        return _let(F.shiftleft(a.cast("bigint"), BITS) + b + F.lit(1), find)
-
-    none, join = F.array().cast("array<int>"), lambda *parts: F.flatten(F.array(*parts))  # concat is lazy, and dearer
+        return _let(F.shiftleft(a, BITS).bitwiseOR(b), find)
 
     def merge(s: Column, m: Column, i: Column) -> Column:
-        w, r = s["w"], s["r"]
-        before = F.when(i > 1, F.array(rank(w[i - 2], m))).otherwise(none)
-        after = F.when(i < F.size(r), F.array(rank(m, w[i + 1]))).otherwise(none)
-        return F.struct(
-            join(F.slice(w, 1, i - 1), F.array(m), F.slice(w, i + 2, F.size(w))).alias("w"),
-            join(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), before, after, F.slice(r, i + 2, F.size(w))).alias("r"),
-        )
+        new = F.shiftright(m, BITS)
+        some = F.array(piece(s[i - 2].bitwiseAND(mask), new), piece(new, s[i + 1].bitwiseAND(mask)))
+        return _let(F.array(F.slice(s, 1, i - 2), some, F.slice(s, i + 2, F.size(s))), F.flatten)
 
     def step(s: Column, _: Column) -> Column:
-        return _let(F.array_min(s["r"]), lambda m: F.when(F.coalesce(m, F.lit(NONE)) == NONE, s).otherwise(_let(F.array_position(s["r"], m).cast("int"), lambda i: merge(s, m, i))))
-
-    start = F.struct(ids.alias("w"), F.zip_with(F.slice(ids, 1, F.size(ids) - 1), F.slice(ids, 2, F.size(ids)), rank).alias("r"))
-    return F.when(F.size(ids) < 2, ids).otherwise(F.aggregate(F.slice(ids, 2, F.size(ids)), start, step, lambda s: s["w"]))
+        # the least element begins the pair of least rank, and equal elements begin equal pairs, so the first of them is the leftmost
+        done = lambda: _let(F.array(F.array(long(-1)), F.slice(s, 2, F.size(s))), F.flatten)
+        return F.when(s[0] < 0, s).otherwise(_let(F.array_min(s), lambda m: F.when(m >= long(NONE << BITS), done()).otherwise(_let(F.array_position(s, m).cast("int"), lambda i: merge(s, m, i)))))
+
+    ids = lambda s: F.transform(F.slice(s, 2, F.size(s) - 2), lambda x: x.bitwiseAND(mask).cast("int"))
+    return F.when(F.size(pieces) < 2, pieces.cast("array<int>")).otherwise(F.aggregate(F.slice(pieces, 4, F.size(pieces)), pieces, step, ids))
+
+
+def fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of one word by the same merges, the least rank (the leftmost of equal ones) first, over a linked list."""
+    part: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
+    before, after = list(range(-1, len(word) - 1)), list(range(1, len(word) + 1))
+    heap = [(ranks[word[i : i + 2]], i) for i in range(len(word) - 1) if word[i : i + 2] in ranks]
+    heapq.heapify(heap)
+    while heap:
+        rank, i = heapq.heappop(heap)
+        j = after[i]
+        if part[i] is None or j == len(word) or ranks.get(part[i] + part[j]) != rank:
+            continue  # one of the pair has been merged since
+        part[i], part[j], after[i] = part[i] + part[j], None, after[j]
+        if after[i] < len(word):
+            before[after[i]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b < len(word) and (new := ranks.get(part[a] + part[b])) is not None:
+                heapq.heappush(heap, (new, a))
+    return [ranks[x] for x in part if x is not None]
 
 
 def vocabulary(ranks: dict[bytes, int]) -> pa.Array:
@@ -133,15 +159,28 @@ def vocabulary(ranks: dict[bytes, int]) -> pa.Array:
     return pa.array(pieces, pa.binary())
 
 
-def byte_arrays(words: pa.Array, pieces: pa.Array, byte_id: np.ndarray) -> pa.ListArray:
-    """For each word (binary) the ids of its bytes; its own id alone if it is in the vocabulary; nothing if it is too long to be folded."""
+def byte_pairs(ranks: dict[bytes, int]) -> np.ndarray:
+    """The ranks of all pairs of bytes."""
+    return np.array([[ranks.get(bytes([a, b]), NONE) for b in range(256)] for a in range(256)], np.int64)
+
+
+def byte_arrays(words: pa.Array, pieces: pa.Array, byte_id: np.ndarray, pair_rank: np.ndarray) -> pa.ListArray:
+    """For each word (binary) its bytes between two ENDs, each the rank of the pair that it begins, then its id; the word's own id
+    alone if it is in the vocabulary; nothing if it is too long for the array fold."""
     raw, off = buffers(words)
     sizes, whole = np.diff(off), pc.fill_null(pc.index_in(words, pieces), -1).to_numpy(zero_copy_only=False)
-    whole = np.where(sizes <= LONGEST, whole, -2)
-    ids, kept = byte_id[raw], np.where(whole >= 0, 1, np.where(whole == -1, sizes, 0))
-    ids[off[:-1][whole >= 0]] = whole[whole >= 0]
-    use = np.repeat(kept, sizes) > np.arange(len(ids)) - np.repeat(off[:-1], sizes)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), pa.array(ids[use]))
+    whole = np.where((sizes > LONGEST) & (whole < 0), -2, whole)
+    kept = np.where(whole >= 0, 1, np.where(whole == -1, sizes + 2, 0))
+    start = np.concatenate([[0], np.cumsum(kept)])
+    out = np.full(start[-1], NONE << BITS | END, np.int64)
+    out[start[:-1][whole >= 0]] = whole[whole >= 0]
+    at = np.flatnonzero(np.repeat(whole == -1, sizes))
+    word = np.repeat(np.arange(len(sizes)), sizes)[at]
+    rank = np.full(len(raw), NONE, np.int64)
+    rank[:-1] = pair_rank[raw[:-1], raw[1:]]
+    rank[off[1:][sizes > 0] - 1] = NONE
+    out[start[word] + 1 + at - off[word]] = rank[at] << BITS | byte_id[raw[at]]
+    return pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(out))
 
 
 _BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -158,28 +197,39 @@ def hashes(words: pa.Array) -> np.ndarray:
 
 
 class Numbers:
-    """Numbers of words, by sorted hashes whose hits are compared with the words themselves."""
+    """Numbers of words, by sorted hashes whose hits are compared with the words themselves.
 
-    def __init__(self, words: pa.Array, base: int):
-        self.words, self.base, self.own = words, base, hashes(words)
-        self._sort()
+    Words stand in runs, each as long as all that came after it at least, so that adding a batch costs little however many are known.
+    """
 
-    def _sort(self) -> None:
-        self.order = np.argsort(self.own, kind="stable")
-        self.sorted = self.own[self.order]
+    def __init__(self):
+        self.runs, self.n = [], 0
 
-    def look_up(self, words: pa.Array, h: np.ndarray, out: np.ndarray) -> None:
-        """Fills in the numbers of words that are known and have none in out yet."""
-        if len(self.sorted):
-            k = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-            hit = np.flatnonzero((self.sorted[k] == h) & (out < 0))
-            at = self.order[k[hit]]
-            same = pc.equal(words.take(pa.array(hit)), self.words.take(pa.array(at))).to_numpy(zero_copy_only=False)
-            out[hit[same]] = self.base + at[same]
+    def look_up(self, words: pa.Array, h: np.ndarray) -> np.ndarray:
+        """The numbers of words, -1 for those not known."""
+        out = np.full(len(words), -1, np.int32)
+        for base, known, order, by_hash in self.runs:
+            k = np.minimum(np.searchsorted(by_hash, h), len(by_hash) - 1)
+            hit = np.flatnonzero((by_hash[k] == h) & (out < 0))
+            at = order[k[hit]]
+            same = pc.equal(words.take(pa.array(hit)), known.take(pa.array(at))).to_numpy(zero_copy_only=False)
+            out[hit[same]] = base + at[same]
+        return out
 
     def add(self, words: pa.Array, h: np.ndarray) -> None:
-        self.words, self.own = pa.concat_arrays([self.words, words]), np.concatenate([self.own, h])
-        self._sort()
+        if not len(words):
+            return
+        base, parts, own = self.n, [words], [h]
+        self.n += len(words)
+        while self.runs and len(self.runs[-1][1]) <= sum(map(len, parts)):
+            base, known, order, by_hash = self.runs.pop()
+            back = np.empty_like(by_hash)
+            back[order] = by_hash
+            parts.insert(0, known)
+            own.insert(0, back)
+        h = np.concatenate(own)
+        order = np.argsort(h, kind="stable").astype(np.int32)
+        self.runs.append((base, pa.concat_arrays(parts), order, h[order]))
 
 
 def split(text: Column) -> tuple[Column, Column]:
@@ -188,63 +238,50 @@ def split(text: Column) -> tuple[Column, Column]:
     return F.when(~odd, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))), F.when(odd, text)
 
 
-def common_words(docs: DataFrame) -> pa.Array:
-    """At most COMMON words, the most frequent of SAMPLE documents chosen by a hash of the id, sorted."""
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    words = docs.join(F.broadcast(ids), "doc_id").select(F.explode(split(F.col("text"))[0]).alias("word")).where(F.octet_length("word").between(2, LONGEST))
-    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON).select("word").toArrow().column(0).combine_chunks()
-    return top.take(pc.sort_indices(top))
-
-
 def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with_ids adds ids (array<int>) and decoded (binary)."""
     ranks = read_ranks(path or default_path())
-    spark = bounded_batches(docs.sparkSession, 512, 2 << 20)
-    byte_id, pieces = np.array([ranks[bytes([b])] for b in range(256)], np.int32), vocabulary(ranks)
+    bounded(docs.sparkSession)
+    byte_id, pair_rank, pieces = np.array([ranks[bytes([b])] for b in range(256)], np.int64), byte_pairs(ranks), vocabulary(ranks)
     table, p, q = rank_literal(ranks)
     fold = _let(table, lambda t: F.transform("fresh", lambda w: encode_word(w, t, p, q))).alias("ids")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    common = common_words(docs)
-    arrays, step = byte_arrays(common.cast(pa.binary()), pieces, byte_id), 2048
-    cuts = np.append(np.arange(0, len(common), step), len(common)).astype(np.int32)
-    rows = pa.table({"k": pa.array(cuts[:-1].astype(np.int64)), "fresh": pa.ListArray.from_arrays(pa.array(cuts), arrays)})
-    done = spark.createDataFrame(rows).repartition(64).select("k", fold).toArrow().sort_by("k").column("ids").combine_chunks() if len(common) else None
-    common_off, common_ids = (done.values.offsets.to_numpy(), done.values.values.to_numpy()) if done is not None else (np.zeros(1, np.int32), np.zeros(0, np.int32))
-
     def number(batches):
         """Each batch of texts as word numbers of its task, with the words that have not come before in the generation."""
         import regex
 
-        first, generation, cut = Numbers(common, 0), 0, regex.compile(ORIGINAL)
-        seen = Numbers(common.slice(0, 0), len(common))
+        seen, generation, cut, own_ranks = Numbers(), 0, regex.compile(ORIGINAL), {}
         for batch in batches:
             words, text = batch.column("words"), batch.column("text")
             if words.null_count:  # a null text, or one to be split here
                 words = pa.array([cut.findall(t or "") if w is None else w for w, t in zip(words.to_pylist(), text.to_pylist(), strict=True)], pa.list_(pa.string()))
             flat = pc.dictionary_encode(words.flatten())
-            if len(seen.own) > GENERATION:
-                seen, generation = Numbers(common.slice(0, 0), len(common)), generation + 1
-            h, at = hashes(flat.dictionary), np.full(len(flat.dictionary), -1, np.int32)
-            for known in (first, seen):
-                known.look_up(flat.dictionary, h, at)
+            if seen.n > GENERATION:
+                seen, generation = Numbers(), generation + 1
+            h = hashes(flat.dictionary)
+            at = seen.look_up(flat.dictionary, h)
             new = np.flatnonzero(at < 0)
-            at[new] = len(common) + len(seen.own) + np.arange(len(new))
+            at[new] = seen.n + np.arange(len(new))
             fresh = flat.dictionary.take(pa.array(new))
             seen.add(fresh, h[new])
             fresh = fresh.cast(pa.binary())
+            arrays = byte_arrays(fresh, pieces, byte_id, pair_rank)
+            long = fresh.filter(pc.equal(arrays.value_lengths(), 0)).to_pylist()
+            if long and not own_ranks:
+                own_ranks = {w: k for k, w in enumerate(pieces.to_pylist()) if w is not None}
             idx = at[flat.indices.to_numpy()] if len(flat) else at
             one = lambda x, t: pa.array([x], pa.list_(t))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([generation], pa.int32()), one(batch.column("doc_id").to_pylist(), pa.int64()), one(words.value_lengths().to_numpy(), pa.int32()), one(idx, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), byte_arrays(fresh, pieces, byte_id)), one(fresh.filter(pc.greater(pc.binary_length(fresh), LONGEST)).to_pylist(), pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), arrays), one([fold_long(w, own_ranks) for w in long], pa.list_(pa.int32())),
                 ],
                 ["generation", "doc_id", "lens", "idx", "fresh", "long"],
             )
 
     def assemble(batches):
-        long, generation = None, -1
+        generation = -1
 
         def spell(ids: pa.ListArray) -> tuple[pa.Array, pa.Array, pa.ListArray]:
             """Each word's ids in decimal, its bytes, and its ids."""
@@ -253,21 +290,17 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
             again = lambda x: pa.ListArray.from_arrays(off, x)
             return pc.binary_join(again(flat.cast(pa.string())), " "), pc.binary_join(again(pieces.take(flat)), b""), again(flat)
 
-        first = spell(pa.ListArray.from_arrays(pa.array(common_off), pa.array(common_ids)))
         for batch in batches:
             for k in range(batch.num_rows):
                 g, doc_id, lens, idx, new, rest = (batch.column(x)[k] for x in ("generation", "doc_id", "lens", "idx", "ids", "long"))
                 new = new.values
                 if len(rest.values):
-                    import tiktoken
-
-                    long = long or tiktoken.Encoding("own", pat_str=ORIGINAL, mergeable_ranks={w: k for k, w in enumerate(pieces.to_pylist()) if w is not None}, special_tokens={})
-                    todo = iter([long._encode_single_piece(w) for w in rest.as_py()])
+                    todo = iter(rest.as_py())
                     new = pa.array([x or next(todo) for x in new.to_pylist()], pa.list_(pa.int32()))
                 if g.as_py() != generation:
-                    generation, known = g.as_py(), first
-                if len(new):
-                    known = tuple(pa.concat_arrays([x, y]) if len(x) else y for x, y in zip(known, spell(new), strict=True))
+                    generation, known = g.as_py(), spell(new)
+                elif len(new):
+                    known = tuple(pa.concat_arrays([x, y]) for x, y in zip(known, spell(new), strict=True))
                 idx, edge = idx.values, np.concatenate([[0], np.cumsum(lens.values.to_numpy())])
                 lists = lambda x, e=edge: pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), x)
                 spoken = pc.binary_join(lists(known[0].take(idx)), " ").to_pylist()
@@ -281,7 +314,7 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     words, odd = split(F.col("text"))
-    numbered = docs.select("doc_id", odd.alias("text"), words.alias("words")).mapInArrow(tidy(number), "generation int, doc_id array<long>, lens array<int>, idx array<int>, fresh array<array<int>>, long array<binary>")
+    numbered = docs.select("doc_id", odd.alias("text"), words.alias("words")).mapInArrow(tidy(number), "generation int, doc_id array<long>, lens array<int>, idx array<int>, fresh array<array<bigint>>, long array<array<int>>")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_ids else "")
     return numbered.select("generation", "doc_id", "lens", "idx", fold, "long").mapInArrow(tidy(assemble), schema)
 

@@ -34,8 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillgrid.functions.batches import bounded
+
 from . import neardup
-from ._store import Tables, bounded_batches, tidy
+from ._store import Tables, tidy
 from ._text import buffers, mix, pieces, powers
 
 #: Fixed parameters: lines of the rolling hash, chunkings, neighbouring lines compared at each side, bytes of a line that is a chunk.
@@ -257,7 +259,7 @@ def revisions(docs: DataFrame, copies: DataFrame, tables: Tables) -> DataFrame:
 
 def remove(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
     """docs with their repeated passages removed from text (n_chars follows, where there is one), and n_lines and n_removed."""
-    spark = bounded_batches(docs.sparkSession)
+    spark = bounded(docs.sparkSession)
     tables = Tables(spark, "linededup")
     keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("string"), "text"))
     base = keyed.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")

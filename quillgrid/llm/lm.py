@@ -27,8 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgrid.functions.batches import bounded
+
 from ._labels import held_out
-from ._store import Tables, bounded_batches, tidy
+from ._store import Tables, tidy
 from ._text import Words, mix, pieces
 
 #: Fixed parameters: classes of words, bytes of text in a block, width of the vectors, noise words per word, steps.
@@ -147,7 +149,7 @@ def log_probabilities(p: dict[str, np.ndarray], ctx: np.ndarray) -> np.ndarray:
 
 def scores(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row, learnt from the rest."""
-    spark = bounded_batches(docs.sparkSession)
+    spark = bounded(docs.sparkSession)
     tables = Tables(spark, "lm")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", modulus, remainder).alias("held_out"), "text")
     blocks = tables.keep(rows.mapInArrow(tidy(_blocks), "block long, doc_id array<long>, held_out array<boolean>, lens array<int>, idx array<int>, words array<long>, tf array<int>, ending array<tinyint>"), rows_per_file=4)

@@ -28,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import Tables, bounded_batches, tidy
+from quillgrid.functions.batches import bounded
+
+from ._store import Tables, tidy
 from ._text import Words, mix, pieces
 
 #: Fixed parameters. LEAST over WHOLE is the least similarity of a link.
@@ -212,7 +214,7 @@ def components(links: DataFrame, tables: Tables) -> DataFrame:
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text; other columns are ignored)."""
-    spark = bounded_batches(docs.sparkSession)
+    spark = bounded(docs.sparkSession)
     tables = Tables(spark, "neardup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = tables.keep(docs.mapInArrow(tidy(_sketches), "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"))

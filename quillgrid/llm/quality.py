@@ -18,8 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillgrid.functions.batches import bounded
+
 from ._labels import SAMPLE_ROWS, held_out, labelled, sigmoid
-from ._store import bounded_batches, tidy
+from ._store import tidy
 from ._text import Words, pieces, sums
 
 #: Hashed word features, rank of the interactions, and the number of structure statistics.
@@ -109,7 +111,7 @@ def _sparse(batches):
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, rows: int = SAMPLE_ROWS, passes: int = 12, seed: int = 7) -> Machine:
     """Fits on at most `rows` labelled documents outside the fold crc32(doc_id) mod modulus = remainder."""
-    bounded_batches(docs.sparkSession)
+    bounded(docs.sparkSession)
     got = labelled(docs, labels, "quality", modulus, remainder, rows).mapInArrow(tidy(_sparse), "y int, at array<int>, x array<float>, stats array<double>").toArrow().combine_chunks()
     y = got.column("y").to_numpy().astype(np.float32)
     share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
@@ -157,7 +159,7 @@ def score(docs: DataFrame, m: Machine) -> DataFrame:
                 out = [forward(np.hstack([hashed(w, a, min(a + _DOCS, len(stats))), stats[a : a + _DOCS]]), m)[0] for a in range(0, len(stats), _DOCS)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sigmoid(np.concatenate(out).astype(float))), pa.array(w.counts)], ["doc_id", "score", "n_words"])
 
-    bounded_batches(docs.sparkSession)
+    bounded(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[c for c in ("text", "n_chars") if c in docs.columns]).mapInArrow(tidy(run), "doc_id long, score double, n_words long")
 
 

@@ -20,7 +20,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import bounded_batches, tidy
+from quillgrid.functions.batches import bounded
+
+from ._store import tidy
 
 #: The library's pre-tokenising pattern with its white space spelt out, the texts the JVM may cut, and
 #: the pre-tokens that a task remembers.
@@ -91,7 +93,7 @@ def counts(docs: DataFrame, path: str | None = None, limit: int = 2048) -> DataF
                 n[d] = len(tokenizer.encode(text[d].as_py(), add_special_tokens=False).ids)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n), pa.array(n > limit), pa.array(short)], ["doc_id", "n_bytes", "n_tokens", "over_limit", "n_whole"])
 
-    bounded_batches(docs.sparkSession, 2048)
+    bounded(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     plain = text.rlike(PLAIN)
     for s in special:

@@ -21,8 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillgrid.functions.batches import bounded
+
 from ._labels import SAMPLE_ROWS, held_out, labelled, logistic, sigmoid
-from ._store import bounded_batches, tidy
+from ._store import tidy
 from ._text import Words, pieces
 
 #: Fixed parameters: weight of the prior as a share of all tokens, least z of a scored unit, most scored units, cost
@@ -144,7 +146,7 @@ def solve_rate(scores: np.ndarray, p: np.ndarray) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, rows: int = SAMPLE_ROWS) -> Model:
     """Learns from at most `rows` labelled documents outside the fold crc32(doc_id) mod modulus = remainder."""
-    bounded_batches(docs.sparkSession)
+    bounded(docs.sparkSession)
     sample = labelled(docs, labels, "toxic", modulus, remainder, rows)
     counts = sample.mapInArrow(tidy(_count_words), "h long, clean long, toxic long").groupBy("h").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     words, scores, p = lexicon(counts)
@@ -197,7 +199,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     ["doc_id", "score", "n_tokens", "passages"],
                 )
 
-    bounded_batches(docs.sparkSession)
+    bounded(docs.sparkSession)
     schema = "doc_id long, score double, n_tokens long, passages array<struct<first:int,past:int,score:double>>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), schema)
 
@@ -219,7 +221,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
 
     if not len(model.curve):
         return docs
-    bounded_batches(docs.sparkSession)
+    bounded(docs.sparkSession)
     return docs.mapInArrow(tidy(run), docs.schema)
 
 
