@@ -1,22 +1,24 @@
 """Near-duplicate groups by MinHash bands, odd sketches and exact confirmation.
 
-A document is its set of 5-word shingles (64-bit hashes). Equal sets form one class, whose smallest id stands for it.
-Class representatives share a bucket where all ROWS minima of one of BANDS bands agree; a pair of similarity 0.75
-escapes all of them with probability (1 - 0.75^4)^40 = 2.4e-7. The verification sketch keeps one MinHash sample for
-each of SAMPLES bins of the hash space and folds the samples into a parity bitmap of BITS bits (an odd sketch): the
-population count of the XOR of two bitmaps tells how many samples differ, precisely so for similar sets. Pairs
-estimated under DOUBT, five standard errors below the threshold, go; all others are confirmed on full sets.
-
-Only links that join different groups matter, so buckets are never expanded into all their pairs:
-1. each member is compared with its bucket's smallest id, and confirmed links give groups;
-2. in buckets that still hold several groups, members of different groups are compared sketch by sketch inside
-   bounded blocks, and the surviving pairs are confirmed. A bucket of more than BLOCK members is first refined by every
-   second band its members share (a pair at 0.75 shares only one band with probability 4.7e-6), and whatever is still
-   larger is dealt out as pairs of blocks, which loses nothing.
+A document is its set of 5-word shingles (64-bit hashes). Equal sets form one class, a node with a number of its own.
+Nodes share a bucket where all ROWS minima of one of BANDS bands agree; a pair of similarity 0.75 escapes all of them
+with probability (1 - 0.75^4)^40 = 2.4e-7. The verification sketch folds samples of a set into a parity bitmap of BITS
+bits (an odd sketch). For sets of up to SMALL shingles every shingle is a sample; the population count of the XOR of two
+bitmaps is then never more than the shingles that differ, so the sketch rejects only pairs that are surely no links.
+Larger sets keep one MinHash sample for each of SAMPLES bins of the hash space, and pairs estimated under DOUBT, five
+standard errors below the threshold, go. All others are confirmed on full sets.
+
+Only links that join different groups matter, so buckets are never expanded into their pairs:
+1. Twice, every group tries one link to the smallest group that it meets, that of most shared buckets, so the number of tries is at most
+   that of nodes, and confirmed links contract the groups.
+2. In buckets that still hold several groups, members of different groups are compared sketch by sketch inside blocks of
+   at most BLOCK, and a block tells a forest: at most one link fewer than it has groups. Members of the bucket's largest
+   group are compared with the others only. A block of which a link is refuted tells all its likely pairs.
 Links become components by alternating large-star and small-star steps, each written to the shared folder.
 
 Cases: null and empty texts, and texts without words, have the empty set and are linked with nothing; a text of fewer
-words is one shingle. Rows of one id are one node. A null id takes no part and stays (component null, kept true).
+words is one shingle. Rows of one id are one document: it is linked with all that any of its texts is linked with. A null
+id takes no part and stays (component null, kept true).
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from ._store import Tables, tidy
 from ._text import Words, mix, pieces
 
 #: Fixed parameters. LEAST over WHOLE is the least similarity of a link.
-BANDS, ROWS, SAMPLES, BITS, DOUBT, BLOCK, WORDS, LEAST, WHOLE = 40, 4, 1024, 2048, 0.65, 4096, 5, 75, 100
+BANDS, ROWS, SAMPLES, BITS, SMALL, DOUBT, BLOCK, WORDS, LEAST, WHOLE = 40, 4, 1024, 2048, 2048, 0.65, 1024, 5, 75, 100
 _rng = np.random.default_rng(75)
 _A = _rng.integers(1, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _rng.integers(1, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -64,29 +66,44 @@ def band_keys(u: np.ndarray, off: np.ndarray) -> np.ndarray:
     return key
 
 
+def _parity(doc: np.ndarray, items: np.ndarray, n: int) -> np.ndarray:
+    held = (mix(items) & np.uint64(BITS - 1)).astype(np.int64)
+    return (np.bincount(doc * BITS + held, minlength=n * BITS) & 1).astype(bool).reshape(n, BITS)
+
+
 def odd_sketch(u: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the samples, then the bitmap of the bins that have one, as bytes."""
-    n = len(off) - 1
-    doc, place = np.repeat(np.arange(n), np.diff(off)), (u >> np.uint64(64 - (SAMPLES.bit_length() - 1))).astype(np.int64)
+    """Parity bitmap of all shingles (0 for sets that are not small), parity bitmap of the samples, and the bitmap of the bins that have one, as bytes."""
+    n, sizes = len(off) - 1, np.diff(off)
+    doc, place = np.repeat(np.arange(n), sizes), (u >> np.uint64(64 - (SAMPLES.bit_length() - 1))).astype(np.int64)
+    small = (sizes <= SMALL)[doc]
+    every = _parity(doc[small], u[small], n)
     first = np.ones(len(u), bool)
     first[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])  # sets are sorted, so this is each bin's minimum
-    doc, place, held = doc[first], place[first], (mix(u[first]) & np.uint64(BITS - 1)).astype(np.int64)
-    parity = (np.bincount(doc * BITS + held, minlength=n * BITS) & 1).astype(bool).reshape(n, BITS)
+    doc, place, held = doc[first], place[first], u[first]
     bins = np.zeros((n, SAMPLES), bool)
     bins[doc, place] = True
-    return np.packbits(np.hstack([parity, bins]), axis=1)
+    return np.packbits(np.hstack([every, _parity(doc, held, n), bins]), axis=1)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated similarities from sketches as rows of 64-bit words; a and b broadcast."""
+    """Estimated similarities from the samples of sketches as rows of 64-bit words; a and b broadcast."""
     k = BITS // 64
-    apart = np.bitwise_count(a[..., :k] ^ b[..., :k]).sum(-1, dtype=np.int64)
-    either = np.bitwise_count(a[..., k:] | b[..., k:]).sum(-1, dtype=np.int64)
-    both = np.bitwise_count(a[..., k:]).sum(-1, dtype=np.int64) + np.bitwise_count(b[..., k:]).sum(-1, dtype=np.int64)
+    apart = np.bitwise_count(a[..., k : 2 * k] ^ b[..., k : 2 * k]).sum(-1, dtype=np.int64)
+    either = np.bitwise_count(a[..., 2 * k :] | b[..., 2 * k :]).sum(-1, dtype=np.int64)
+    both = np.bitwise_count(a[..., 2 * k :]).sum(-1, dtype=np.int64) + np.bitwise_count(b[..., 2 * k :]).sum(-1, dtype=np.int64)
     differ = -BITS / 2 * np.log(np.maximum(1 - 2 * apart / BITS, 1e-3))
     return (both - differ) / 2 / np.maximum(either, 1)
 
 
+def possible(n: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sizes and sketches leave pairs a chance; n and a, and m and b, broadcast."""
+    ok = WHOLE * np.minimum(n, m) >= LEAST * np.maximum(n, m)
+    apart = np.bitwise_count(a[..., : BITS // 64] ^ b[..., : BITS // 64]).sum(-1, dtype=np.int64)
+    fine = (WHOLE + LEAST) * apart <= (WHOLE - LEAST) * (n + m)
+    large = np.maximum(n, m) > SMALL
+    return ok & np.where(large, similarity(a, b) >= DOUBT, fine) if large.any() else ok & fine
+
+
 def _sketches(batches):
     for batch in batches:
         for part in pieces(batch, "text"):
@@ -117,60 +134,68 @@ def _likely(batches):
     for batch in batches:
         if batch.num_rows:
             n, m = (batch.column(x).to_numpy() for x in ("n_a", "n_b"))
-            ok = (WHOLE * np.minimum(n, m) >= LEAST * np.maximum(n, m)) & (similarity(_words64(batch.column("sketch_a")), _words64(batch.column("sketch_b"))) >= DOUBT)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            yield batch.select(["a", "b"]).filter(pa.array(possible(n, _words64(batch.column("sketch_a")), m, _words64(batch.column("sketch_b")))))
 
 
-def _cross(batches):
-    """Within each run of equal g (sorted): likely pairs of members of different groups.
+def block_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, x: np.ndarray, whole: bool):
+    """Likely pairs of one block, of members of different groups: all of them, or a forest over the groups.
 
-    Sides 0 and 1 are compared with each other, sides 2 and 3 within themselves. Side 2 is a bucket, of which g is the key: a pair
-    is told in the first of the buckets that it shares, and not again in the others.
+    Sides 0 and 1 are compared with each other, side 2 within itself.
     """
+    own = comp.copy()
+    for i in range(len(node) - 1):
+        j = np.flatnonzero((own[i + 1 :] != own[i]) & ((side[i + 1 :] != side[i]) | (side[i] == 2))) + i + 1
+        if not len(j):
+            continue
+        for k in j[possible(n[i], x[i], n[j], x[j])].tolist():
+            if whole or own[k] != own[i]:
+                yield min(node[i], node[k]), max(node[i], node[k])
+            if not whole:
+                own[own == own[k]] = own[i]
+
+
+def _told(whole: bool):
+    """A batch function over runs of equal g (sorted), each a block."""
 
     def pairs(rows: pa.Table):
-        doc, comp, n, side = (rows.column(x).to_numpy() for x in ("doc", "comp", "n", "side"))
-        x = _words64(rows.column("sketch").combine_chunks())
-        g = rows.column("g")[0].as_py()
-        keys = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(doc), -1) if side[0] == 2 else None
-        for i in range(len(doc)):
-            j = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((side[i + 1 :] != side[i]) | (side[i] >= 2))) + i + 1
-            j = j[WHOLE * np.minimum(n[j], n[i]) >= LEAST * np.maximum(n[j], n[i])]
-            if len(j):
-                j = j[similarity(x[i], x[j]) >= DOUBT]
-                if keys is not None and len(j):
-                    shared = (keys[j] == keys[i]) & (keys[i] != 0)
-                    j = j[keys[i][shared.argmax(1)] == g]
-                yield from ((min(doc[i], d), max(doc[i], d)) for d in doc[j].tolist())
+        node, comp, n, side = (rows.column(x).to_numpy() for x in ("node", "comp", "n", "side"))
+        return [(rows.column("g")[0].as_py(), *p) for p in block_pairs(node, comp, n, side, _words64(rows.column("sketch").combine_chunks()), whole)]
 
     def out(found: list):
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([rest, table]) if rest is not None else table
-        g = table.column("g").to_numpy()
-        if not len(g):
-            continue
-        cut = np.append(np.flatnonzero(g[1:] != g[:-1]) + 1, len(g))
-        at, found = 0, set()
-        for to in cut[:-1].tolist():
-            found.update(pairs(table.slice(at, to - at)))
-            at = to
-        rest = table.slice(at)
-        if found:
-            yield out(list(found))
-    if rest is not None:
-        yield out(list(set(pairs(rest))))
+        cols = list(zip(*found, strict=True)) if found else [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["g", "a", "b"])
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            g = table.column("g").to_numpy()
+            if not len(g):
+                continue
+            cut, at = np.append(np.flatnonzero(g[1:] != g[:-1]) + 1, len(g)), 0
+            for to in cut[:-1].tolist():
+                yield out(pairs(table.slice(at, to - at)))
+                at = to
+            rest = table.slice(at)
+        if rest is not None:
+            yield out(pairs(rest))
+
+    return run
 
 
 def _as_sets(batches):
     for batch in batches:
         for part in pieces(batch, "text"):
             u, off = sets(part.column("text"))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([u[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary())], ["doc_id", "items"])
+            own = [u[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
+            digest = [hashlib.blake2b(x, digest_size=16).digest() for x in own]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digest, pa.binary()), pa.array(own, pa.binary())], ["doc_id", "digest", "items"])
+
+
+def as_sets(docs: DataFrame) -> DataFrame:
+    """doc_id, digest and items (the sorted shingle hashes) of docs (doc_id, text)."""
+    return docs.mapInArrow(tidy(_as_sets), "doc_id long, digest binary, items binary")
 
 
 def _confirmed(batches):
@@ -184,11 +209,10 @@ def _confirmed(batches):
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, tables: Tables) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; each set is shuffled once for a side and once a pair."""
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    own = tables.keep(docs.select("doc_id", "text").join(ends, "doc_id", "left_semi").mapInArrow(tidy(_as_sets), "doc_id long, items binary").dropDuplicates(["doc_id"]))
-    side = lambda k, v: own.select(F.col("doc_id").alias(k), F.col("items").alias(v))
+def confirm(own: DataFrame, pairs: DataFrame, tables: Tables) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough. own: node and items, one row a node, of all nodes of the pairs."""
+    own = tables.keep(own)
+    side = lambda k, v: own.select(F.col("node").alias(k), F.col("items").alias(v))
     out = tables.keep(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(tidy(_confirmed), "a long, b long"))
     tables.drop(own)
     return out
@@ -212,6 +236,42 @@ def components(links: DataFrame, tables: Tables) -> DataFrame:
     return at.select(F.col("hi").alias("doc"), F.col("lo").alias("comp")).union(at.select("lo", "lo").distinct())
 
 
+def open_buckets(placed: DataFrame) -> DataFrame:
+    """Members (key, node, comp) of buckets that hold several groups."""
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+    return placed.join(mixed, "key")
+
+
+def tries(placed: DataFrame) -> DataFrame:
+    """One pair (a, b) of nodes for each group that meets a smaller one: of the smallest groups of its buckets the one met most often."""
+    least = placed.groupBy("key").agg(F.min(F.struct("comp", "node")).alias("first"))
+    met = placed.join(least, "key").where("comp <> first.comp").groupBy("comp", F.col("first.comp").alias("to")).agg(F.count("*").alias("n"), F.min(F.struct(F.col("first.node").alias("a"), F.col("node").alias("b"))).alias("pair"))
+    return met.groupBy("comp").agg(F.max_by("pair", F.struct("n", -F.col("to"))).alias("pair")).select("pair.*")
+
+
+def blocks(opened: DataFrame) -> DataFrame:
+    """g, node, comp and side of the blocks in which members of open buckets (key, node, comp) are compared.
+
+    A bucket of up to BLOCK members is one block. In a larger one all pairs of blocks of the members outside its largest group meet, and
+    each of those blocks meets each block of the largest group.
+    """
+    each = opened.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    size = each.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("most"))
+    one = F.col("size") <= BLOCK
+    sized = size.select(
+        "key", F.when(~one, F.col("most.comp")).alias("most"), F.when(one, 1).otherwise(F.ceil((F.col("size") - F.col("most.n")) / BLOCK)).cast("int").alias("others"), F.when(one, 0).otherwise(F.ceil(F.col("most.n") / BLOCK)).cast("int").alias("parts")
+    )
+    inside = F.coalesce(F.col("comp") == F.col("most"), F.lit(False))
+    placed = opened.join(sized, "key").select("key", "node", "comp", "others", "parts", inside.alias("inside"), F.pmod(F.xxhash64("node"), F.when(inside, F.col("parts")).otherwise(F.col("others"))).cast("int").alias("own"))
+    to = lambda n: F.sequence(F.lit(0), n - 1)
+    place = lambda i, j, kind, side: F.struct(F.xxhash64("key", i, j, F.lit(kind)).alias("g"), side.cast("int").alias("side"))
+    own = F.col("own")
+    among = F.transform(to(F.col("others")), lambda k: place(F.least(own, k), F.greatest(own, k), "among", F.when(own == k, 2).otherwise((own > k).cast("int"))))
+    with_most = F.when(F.col("parts") > 0, F.transform(to(F.col("parts")), lambda k: place(own, k, "most", F.lit(0)))).otherwise(F.array())
+    at = F.when(F.col("inside"), F.transform(to(F.col("others")), lambda k: place(k, own, "most", F.lit(1)))).otherwise(F.concat(among, with_most))
+    return placed.select("node", "comp", F.inline(at))
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text; other columns are ignored)."""
     spark = bounded(docs.sparkSession)
@@ -219,46 +279,54 @@ def groups(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = tables.keep(docs.mapInArrow(tidy(_sketches), "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"))
     some = every.where("n_shingles > 0 and doc_id is not null")
-    classes = tables.keep(some.groupBy("digest").agg(F.min("doc_id").alias("rep")))
-    reps = some.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-
-    rows = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("doc"))
-    centres = rows.groupBy("key").agg(F.min("doc").alias("centre"), F.count("*").alias("size")).where("size > 1")
-    members = tables.keep(rows.join(centres, "key"))
-    near = tables.keep(reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "bands").join(members.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]))
-    side = lambda x: near.select(F.col("doc").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
-    stars = members.where("doc <> centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct()
-    likely = tables.keep(stars.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidy(_likely), "a long, b long"))
-    first = confirm(docs, likely, tables)
-    known = tables.keep(components(first, tables))
-
-    placed = members.select("key", "doc").join(known, "doc", "left").select("key", "doc", F.coalesce("comp", "doc").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low <> high").select("key", "size")
-    open_ = tables.keep(placed.join(mixed, "key"))
-    tables.drop(members)
-    large = open_.where(F.col("size") > BLOCK)
-    both = large.groupBy("doc", "comp").agg(F.sort_array(F.collect_set("key")).alias("keys")).where(F.size("keys") > 1)  # at most BANDS keys
-    finer = both.select("doc", "comp", F.explode(F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.lit(BANDS)), lambda y: F.xxhash64(x, y))))).alias("key"))
-    small = open_.where(F.col("size") <= BLOCK).select(F.col("key").alias("g"), "doc", "comp", F.lit(2).alias("side"))
-    again = finer.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low <> high").select("key", "size")
-    finer = tables.keep(finer.join(again, "key"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
-    dealt = finer.select("key", "doc", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("g"), "doc", "comp", F.when(F.col("own") == F.col("other"), 3).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side")
-    )
-    # keys of large buckets are struck out, so that a pair is told in the first small bucket that it shares
-    struck = near.join(large.groupBy("doc").agg(F.collect_set("key").alias("large")), "doc", "left")
-    bands = F.transform("bands", lambda k: F.when(F.coalesce(F.array_contains("large", k), F.lit(False)), F.lit(0).cast("long")).otherwise(k))
-    work = small.union(dealt).join(struck.select("doc", "n", "sketch", bands.alias("bands")), "doc").select("g", "doc", "comp", "side", "n", "sketch", "bands")
-    found = work.repartition("g").sortWithinPartitions("g", "doc").mapInArrow(tidy(_cross), "a long, b long").distinct()
-    second = confirm(docs, tables.keep(found), tables)
-    final = tables.keep(components(first.union(second), tables))
-
-    named = classes.join(final.select(F.col("doc").alias("rep"), "comp"), "rep", "left").select("digest", F.coalesce("comp", "rep").alias("component_id"))
-    out = every.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    # a number of its own for each class, which holds once the table is written
+    classes = tables.keep(some.groupBy("digest").agg(F.min("doc_id").alias("rep")).withColumn("node", F.monotonically_increasing_id()))
+    rows = tables.keep(every.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
+    reps = some.join(classes.select("digest", F.col("rep").alias("doc_id"), "node"), ["digest", "doc_id"])
+
+    band = reps.select(F.explode("bands").alias("key"), "node")
+    members = tables.keep(band.join(band.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key"), "key"))
+    near = tables.keep(reps.select("node", F.col("n_shingles").alias("n"), "sketch").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    # ids that have several texts, and the first of their nodes
+    several = tables.keep(rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count_if(F.col("node").isNull()).alias("empty")).where("lo <> hi or (empty > 0 and lo is not null)").select("doc_id", "lo"))
+    known = tables.keep(components(rows.join(several, "doc_id").where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")), tables))
+
+    def sure(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(classes, "node")
+        texts = docs.join(ends.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        return confirm(as_sets(texts).join(ends.select("digest", "node"), "digest").select("node", "items").dropDuplicates(["node"]), pairs, tables)
+
+    def grown(links: DataFrame) -> DataFrame:
+        return tables.keep(components(known.select(F.col("doc").alias("a"), F.col("comp").alias("b")).union(links), tables))
+
+    def placed() -> DataFrame:
+        return members.join(known.select(F.col("doc").alias("node"), "comp"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+
+    side = lambda x: near.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    for _ in range(2):
+        tried = tables.keep(tries(placed()))
+        known = grown(sure(tables.keep(tried.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidy(_likely), "a long, b long"))))
+
+    work = tables.keep(blocks(open_buckets(placed())))
+    for whole in (False, True):
+        full = work.join(near, "node").select("g", "node", "comp", "side", "n", "sketch")
+        told = tables.keep(full.repartition("g").sortWithinPartitions("g", "node").mapInArrow(tidy(_told(whole)), "g long, a long, b long"))
+        pairs = tables.keep(told.select("a", "b").distinct())
+        found = sure(pairs)
+        known = grown(found)
+        refuted = told.join(found, ["a", "b"], "left_anti").select("g").distinct()
+        if whole or refuted.isEmpty():
+            break
+        # blocks with a refuted link are looked at again, with the groups as they are now
+        again = work.drop("comp").join(refuted, "g").join(known.select(F.col("doc").alias("node"), "comp"), "node", "left")
+        work = tables.keep(again.select("g", "node", F.coalesce("comp", "node").alias("comp"), "side"))
+
+    named = known.join(classes.select(F.col("node").alias("doc"), "rep"), "doc").select(F.col("doc").alias("node"), "comp", "rep")
+    named = named.join(named.groupBy("comp").agg(F.min("rep").alias("component")), "comp").select("node", "component")
+    named = classes.select("node", "rep").join(named, "node", "left").select("node", F.coalesce("component", "rep").alias("component"))
+    empty = rows.where("node is null").drop("node").join(several, "doc_id", "left").select("doc_id", "n_shingles", F.col("lo").alias("node"))
+    out = rows.where("node is not null").unionByName(empty).join(named, "node", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -59,6 +59,35 @@ def test_against_brute_force(spark, monkeypatch, block):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
+def test_texts_of_one_id_are_one_document(spark):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, ""), (4, "lone words here"), (5, "Lone words here"), (6, None), (1, a)]
+    got = neardup.groups(documents(spark, rows)).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute([r for r in rows])
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6}
+
+
+def test_small_sets_are_rejected_only_if_surely_apart():
+    rng = np.random.default_rng(5)
+    for n, m, both in ((100, 100, 86), (100, 100, 85), (1000, 1000, 860), (2000, 2000, 1600), (60, 60, 30)):
+        x = rng.integers(0, 2**64, n + m - both, dtype=np.uint64)
+        own = [np.sort(x[:n]), np.sort(x[n - both :])]
+        bits = [np.frombuffer(b.tobytes(), np.uint64) for b in neardup.odd_sketch(np.concatenate(own), np.array([0, n, n + m]))]
+        kept = bool(neardup.possible(np.int64(n), bits[0], np.int64(m), bits[1]))
+        assert kept or 100 * both < 75 * (n + m - both)
+        if both * 4 <= 2 * (n + m - both):
+            assert not kept
+
+
+def test_a_block_tells_a_forest():
+    rng = np.random.default_rng(6)
+    own = np.sort(rng.integers(0, 2**64, 80, dtype=np.uint64))
+    sketch = np.frombuffer(neardup.odd_sketch(own, np.array([0, 80])).tobytes(), np.uint64)
+    k = 50
+    told = lambda whole: list(neardup.block_pairs(np.arange(k), np.arange(k), np.full(k, 80), np.full(k, 2), np.tile(sketch, (k, 1)), whole))
+    assert len(told(False)) == k - 1 and len(told(True)) == k * (k - 1) // 2
+
+
 def test_keep_first_keeps_columns_and_unlinked_rows(spark):
     docs = documents(spark, [(3, "a b c d e f"), (1, "A b c d e f"), (2, "other words"), (4, None), (None, "a b c d e f")])
     out = neardup.keep_first(docs)
