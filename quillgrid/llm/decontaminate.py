@@ -8,9 +8,10 @@ word with the text, so matches are exact. The common words of a window are never
 
 proximity() finds documents that hold all words of a query within a span, from the same index.
 
-Terms and rows are 64-bit hashes: a collision could only add a candidate, which the comparison rejects. A row is the
-hash of id and text, so rows of one id with different texts are told apart. Item words are broadcast while they are
-few (BROADCAST_TERMS); beyond that the joins are left to Spark.
+Equal windows, of one item or of several, are looked up once, so a text has at most one match of each length at a place,
+however repetitive it and the items are. Terms are 64-bit hashes: a collision could only add a candidate, which the
+comparison rejects. A row is its id and the hash of its text, so rows of one id with different texts are told apart. Item words
+are broadcast while they are few (BROADCAST_TERMS); beyond that the joins are left to Spark.
 
 Cases: a null text has no words; null ids are kept; items without words have no window; an item id in several rows
 counts once; repeated document rows are each returned; other columns are ignored.
@@ -41,7 +42,7 @@ def words_of(text: Column) -> Column:
 
 
 def row_key(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    return docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text")).alias("row"), "text")
 
 
 def item_words(items: DataFrame) -> DataFrame:
@@ -55,11 +56,11 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def build_index(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
-    """Postings (term, row, pos) of the terms (a column `term`), and ends with their doc_id."""
-    every = row_key(docs).select("doc_id", "row", F.posexplode(F.concat(F.coalesce(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.array()), F.array(F.lit("")))).alias("pos", "word"))
-    hashed = every.select("doc_id", "row", "pos", F.when(F.col("word") == "", F.lit(END).cast("long")).otherwise(F.xxhash64(lowered(F.col("word")))).alias("term"))
+    """Postings (term, row, pos) of the terms (a column `term`), and ends."""
+    every = row_key(docs).select("row", F.posexplode(F.concat(F.coalesce(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.array()), F.array(F.lit("")))).alias("pos", "word"))
+    hashed = every.select("row", "pos", F.when(F.col("word") == "", F.lit(END).cast("long")).otherwise(F.xxhash64(lowered(F.col("word")))).alias("term"))
     wanted = terms.select("term").union(docs.sparkSession.sql(f"SELECT CAST({END} AS BIGINT) AS term")).distinct()
-    return hashed.join(small(wanted, n_terms), "term").select("term", "row", "pos", F.when(F.col("term") == END, F.col("doc_id")).alias("doc_id"))
+    return hashed.join(small(wanted, n_terms), "term").select("term", "row", "pos")
 
 
 def frequencies(index: DataFrame) -> DataFrame:
@@ -67,18 +68,19 @@ def frequencies(index: DataFrame) -> DataFrame:
 
 
 def windows(words: DataFrame, df: DataFrame) -> DataFrame:
-    """item, off, len and anchors (places in the item of the rarest words) of all windows whose words all occur in the index."""
+    """item, off, len, phrase and anchors (places in the item of the rarest words) of all windows whose words all occur in the index."""
     places = words.select("item", F.posexplode("words").alias("at", "word")).select("item", "at", F.xxhash64("word").alias("term")).join(df, "term", "left")
-    own = places.groupBy("item").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "df"))), lambda x: x["df"]).alias("dfs"))
+    own = places.groupBy("item").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "df"))), lambda x: x["df"]).alias("dfs")).join(words.select("item", "words"), "item")
     n = F.size("dfs")
-    cut = own.select("item", "dfs", F.explode(F.sequence(F.lit(0), F.greatest(n - LENGTH, F.lit(0)))).alias("off"), F.least(n, F.lit(LENGTH)).alias("len"))
+    cut = own.select("item", "dfs", "words", F.explode(F.sequence(F.lit(0), F.greatest(n - LENGTH, F.lit(0)))).alias("off"), F.least(n, F.lit(LENGTH)).alias("len"))
     inside = F.slice("dfs", F.col("off") + 1, F.col("len"))
     ranked = F.array_sort(F.transform(inside, lambda d, i: F.struct(d.alias("df"), (F.col("off") + i).alias("at"))))
-    return cut.where(~F.exists(inside, lambda d: d.isNull())).select("item", "off", "len", F.transform(F.slice(ranked, 1, ANCHORS), lambda x: x["at"]).alias("anchors"))
+    phrase = F.array_join(F.slice("words", F.col("off") + 1, F.col("len")), " ")
+    return cut.where(~F.exists(inside, lambda d: d.isNull())).select("item", "off", "len", phrase.alias("phrase"), F.transform(F.slice(ranked, 1, ANCHORS), lambda x: x["at"]).alias("anchors"))
 
 
 def alignments(index: DataFrame, words: DataFrame, cut: DataFrame, n_places: int) -> DataFrame:
-    """row, item, shift and off of the windows whose anchors meet: offset-adjusted postings intersected."""
+    """row, start, len and phrase of the windows (each phrase once) whose anchors meet: offset-adjusted postings intersected."""
     anchors = cut.select("item", F.explode("anchors").alias("at")).distinct()
     terms = words.select("item", F.posexplode("words").alias("at", "word")).join(anchors, ["item", "at"]).select("item", "at", F.xxhash64("word").alias("term"))
     met = (
@@ -88,40 +90,39 @@ def alignments(index: DataFrame, words: DataFrame, cut: DataFrame, n_places: int
         .agg(F.collect_set("at").alias("met"))
     )
     whole = small(cut, n_places)
-    return met.join(whole, "item").where(F.size(F.array_intersect("anchors", "met")) == F.size("anchors")).where("shift + off >= 0").select("row", "item", "shift", "off", "len")
+    return met.join(whole, "item").where(F.size(F.array_intersect("anchors", "met")) == F.size("anchors")).where("shift + off >= 0").select("row", (F.col("shift") + F.col("off")).alias("start"), "len", "phrase")
 
 
-def matches(docs: DataFrame, items: DataFrame, tables: Tables | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows, found): doc_id, row and n_words of every document; row and its exact matches, an array of (item_id, start, len)."""
+def matches(docs: DataFrame, items: DataFrame, tables: Tables | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, found, whose): row and n_words of every document; row and its exact matches, an array of (phrase, start, len); phrase and
+    item_id of the items that have it."""
     tables = tables or Tables(docs.sparkSession, "decontaminate")
     words = tables.keep(item_words(items))
     n_places = words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
     terms = words.select(F.explode("words").alias("word")).select(F.xxhash64("word").alias("term")).distinct()
     index = tables.keep(build_index(docs, terms, n_places))
-    cut = tables.keep(windows(words, frequencies(index)))
-    near = alignments(index, words, cut, n_places)
-    text = small(words.select("item", "item_id", "words"), n_places)
-    likely = tables.keep(
-        near.join(text, "item")
-        .select("row", F.struct("item_id", (F.col("shift") + F.col("off")).alias("start"), "len", F.slice("words", F.col("off") + 1, F.col("len")).alias("words")).alias("m"))
-        .groupBy("row")
-        .agg(F.collect_list("m").alias("ms"))
-    )
+    every = tables.keep(windows(words, frequencies(index)))
+    cut = tables.keep(every.groupBy("phrase").agg(F.min(F.struct("item", "off", "len", "anchors")).alias("w")).select("phrase", "w.*"))
+    likely = tables.keep(alignments(index, words, cut, n_places).groupBy("row").agg(F.collect_set(F.struct("phrase", "start", "len")).alias("ms")))
     # the texts of rows that have a candidate; where ids of those rows are few, Spark filters the scan by them
     own = row_key(docs).join(likely, "row").select("row", "ms", words_of(F.col("text")).alias("own")).dropDuplicates(["row"])
-    exact = F.filter("ms", lambda m: F.slice("own", m["start"] + 1, m["len"]) == m["words"])
-    found = own.select("row", F.transform(exact, lambda m: F.struct(m["item_id"].alias("item_id"), m["start"].alias("start"), m["len"].alias("len"))).alias("found")).where("size(found) > 0")
-    return index.where(F.col("term") == END).select("doc_id", "row", F.col("pos").cast("long").alias("n_words")), found
+    exact = F.filter("ms", lambda m: F.array_join(F.slice("own", m["start"] + 1, m["len"]), " ") == m["phrase"])
+    found = own.select("row", exact.alias("found")).where("size(found) > 0")
+    whose = every.join(words.select("item", "item_id"), "item").select("phrase", "item_id").distinct()
+    return index.where(F.col("term") == END).select("row", F.col("pos").cast("long").alias("n_words")), found, whose
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
-    rows, found = matches(docs, items)
+    tables = Tables(docs.sparkSession, "decontaminate")
+    rows, found, whose = matches(docs, items, tables)
+    found = tables.keep(found)
     hit = F.size(F.array_distinct(F.flatten(F.transform("found", lambda m: F.sequence(m["start"], m["start"] + m["len"] - 1)))))
-    ids = F.array_sort(F.array_distinct(F.transform("found", lambda m: m["item_id"].cast("string"))))
-    each = found.select("row", hit.cast("long").alias("n_hit"), ids.alias("ids"))
+    named = found.select("row", F.explode(F.array_distinct(F.transform("found", lambda m: m["phrase"]))).alias("phrase")).join(whose, "phrase")
+    ids = named.groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
+    each = found.select("row", hit.cast("long").alias("n_hit")).join(ids, "row")
     return rows.join(each, "row", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long").alias("n_items"),
+        "row.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
 
@@ -142,8 +143,9 @@ def proximity(index: DataFrame, queries: DataFrame, span: int) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that hold no window of any item, with all their columns."""
-    _, found = matches(docs, items)
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(found.select(F.col("row").alias("_row")), "_row", "left_anti").select(*docs.columns)
+    _, found, _ = matches(docs, items)
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text"))
+    return docs.select(key.alias("row"), F.struct("*").alias("own")).join(found.select("row"), "row", "left_anti").select("own.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

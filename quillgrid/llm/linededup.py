@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillgrid.functions.batches import bounded
 
@@ -226,30 +227,29 @@ def _without(batches):
     for batch in batches:
         col, texts, total, gone = batch.column("gone").to_pylist(), batch.column("text").to_pylist(), [], []
         for i, (spans, text) in enumerate(zip(col, texts, strict=True)):
-            if text is None:
-                total.append(0)
-                gone.append(0)
-                continue
-            if not spans:
+            if not spans or text is None:
                 total.append(text.count("\n") + 1 if text else 0)
                 gone.append(0)
                 continue
-            lines = text.split("\n")
-            out = set()
+            lines, out = text.split("\n"), set()
             for s in spans:
                 out.update(range(s["first"], s["past"]))
             total.append(len(lines))
             gone.append(len(out))
             texts[i] = "\n".join(x for k, x in enumerate(lines) if k not in out)
-        names = [n for n in batch.schema.names if n not in ("gone", "text")]
-        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], [*names, "text", "n_lines", "n_removed"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("own"), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], ["row", "own", "text", "n_lines", "n_removed"])
+
+
+def without(docs: DataFrame) -> DataFrame:
+    """row, own, text, n_lines and n_removed of docs (row, own, text, gone)."""
+    schema = StructType([docs.schema["row"], docs.schema["own"]]).add("text", "string").add("n_lines", "long").add("n_removed", "long")
+    return docs.select("row", "own", "text", "gone").mapInArrow(tidy(_without), schema)
 
 
 def revisions(docs: DataFrame, copies: DataFrame, tables: Tables) -> DataFrame:
-    """row of each document that is a near copy of what an earlier one keeps. docs: _row, text and gone; copies: row and home_row, the pairs to try."""
+    """row of each document that is a near copy of what an earlier one keeps. docs: row, own, text and gone; copies: row and home_row, the pairs to try."""
     kept = lambda row: F.xxhash64(row, F.lit("kept"))
-    left = docs.mapInArrow(tidy(_without), "_row long, text string, n_lines long, n_removed long")
-    both = docs.select(F.col("_row").alias("doc_id"), "text").union(left.select(kept("_row"), "text"))
+    both = docs.select(F.col("row").alias("doc_id"), "text").union(without(docs).select(kept("row"), "text"))
     worded = both.where(F.col("text").rlike("[^ \\t-\\r]"))  # texts without words are linked with nothing
     pairs = copies.select(kept("home_row").alias("a"), F.col("row").alias("b"))
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -259,33 +259,43 @@ def revisions(docs: DataFrame, copies: DataFrame, tables: Tables) -> DataFrame:
     return sure.join(sure.select(kept("row").alias("a")).distinct(), "a", "left_anti").select("row").distinct()
 
 
-def remove(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
-    """docs with their repeated passages removed from text (n_chars follows, where there is one), and n_lines and n_removed."""
-    spark = bounded(docs.sparkSession)
-    tables = Tables(spark, "linededup")
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("string"), "text"))
-    base = keyed.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _removed(docs: DataFrame, leave_revisions: bool) -> DataFrame:
+    """own (a struct of the other columns of docs, so that no name of theirs can clash), text, n_lines and n_removed."""
+    bounded(docs.sparkSession)
+    tables = Tables(docs.sparkSession, "linededup")
+    keyed = docs.select(F.xxhash64(F.col("doc_id").cast("string"), "text").alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("own"), "text")
+    base = keyed.select("row", F.col("own.doc_id").cast("long").alias("doc_id"), "text")
     # texts are shuffled once to meet their candidates; after that only documents that have some are moved
     listed, copies = candidates(base, tables, leave_revisions)
-    met = tables.keep(keyed.join(listed.select(F.col("row").alias("_row"), F.col("spans").alias("_spans"), F.col("tried").alias("_tried")), "_row", "left"))
-    spans = tables.keep(repeats(met.where("_spans IS NOT NULL").select(F.col("_row").alias("row"), "text", F.col("_spans").alias("spans")), tables))
-    gone = spans.groupBy(F.col("row").alias("_row")).agg(F.collect_set(F.struct("first", "past")).alias("gone"))
+    met = tables.keep(keyed.join(listed, "row", "left"))
+    spans = tables.keep(repeats(met.where("spans IS NOT NULL").select("row", "text", "spans"), tables))
+    gone = spans.groupBy("row").agg(F.collect_set(F.struct("first", "past")).alias("gone"))
     if leave_revisions:
         gone = tables.keep(gone)
-        tried = met.where("_tried").select("_row", "text").join(gone, "_row", "left")
-        gone = gone.join(tables.keep(revisions(tried, copies, tables)).withColumnRenamed("row", "_row"), "_row", "left_anti")
-    some, rest = met.where("_spans IS NOT NULL").drop("_spans", "_tried"), met.where("_spans IS NULL").drop("_spans", "_tried")
-    joined = some.join(gone, "_row", "left").unionByName(rest, allowMissingColumns=True).drop("_row")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("gone", "text")]
-    out = joined.mapInArrow(tidy(_without), ", ".join([*fields, "text string", "n_lines long", "n_removed long"]))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns, "n_lines", "n_removed")
+        tried = met.where("tried").select("row", "own", "text").join(gone, "row", "left")
+        gone = gone.join(tables.keep(revisions(tried, copies, tables)), "row", "left_anti")
+    some, rest = (met.where(f"spans IS {x}NULL").select("row", "own", "text") for x in ("NOT ", ""))
+    return without(some.join(gone, "row", "left").unionByName(rest, allowMissingColumns=True))
+
+
+def _columns(docs: DataFrame) -> list:
+    """The columns of docs from those of _removed(); n_chars follows text."""
+    out = []
+    for c in docs.columns:
+        was = F.col("text") if c == "text" else F.col(f"own.`{c}`")
+        out.append((F.when(F.col("n_removed") > 0, F.length("text")).otherwise(was).cast(docs.schema[c].dataType) if c == "n_chars" else was).alias(c))
+    return out
+
+
+def remove(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
+    """docs with their repeated passages removed from text (n_chars follows, where there is one), and n_lines and n_removed, which take the place of columns so named."""
+    new = ("n_lines", "n_removed")
+    return _removed(docs, leave_revisions).select(*[c for c, name in zip(_columns(docs), docs.columns, strict=True) if name not in new], *new)
 
 
 def drop_repeats(docs: DataFrame, leave_revisions: bool = False) -> DataFrame:
     """remove(), without the rows that have lost every line, and with the columns of docs alone."""
-    return remove(docs, leave_revisions).where("n_removed = 0 OR n_removed < n_lines").select(*docs.columns)
+    return _removed(docs, leave_revisions).where("n_removed = 0 OR n_removed < n_lines").select(*_columns(docs))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -332,7 +332,7 @@ def groups(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of docs whose id is the smallest of its group, with all their columns."""
     gone = groups(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -27,9 +27,9 @@ from ._labels import SAMPLE_ROWS, held_out, labelled, logistic, sigmoid
 from ._store import tidy
 from ._text import Words, pieces
 
-#: Fixed parameters: weight of the prior as a share of all tokens, least z of a scored unit, most scored units, cost
-#: of any other word, E-value under which a passage is significant, and lengths in bytes of beginnings.
-PRIOR, LEAST_Z, MOST_UNITS, COST, SIGNIFICANT, BEGINNINGS = 0.1, 4.0, 20_000, 0.4, 0.05, (4, 5, 6)
+#: Fixed parameters: weight of the prior as a share of all tokens, least z of a scored unit, cost of any other word,
+#: E-value under which a passage is significant, and lengths in bytes of beginnings.
+PRIOR, LEAST_Z, COST, SIGNIFICANT, BEGINNINGS = 0.1, 4.0, 0.4, 0.05, (4, 5, 6)
 
 
 @dataclass
@@ -64,24 +64,28 @@ def token_scores(w: Words, model: Model) -> np.ndarray:
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments of one document as (first token, token past the last, score), in order."""
+    """All maximal scoring segments of one document as (first token, token past the last, score), in order.
+
+    Every segment keeps the place of the last one before it whose sum before is smaller, so that a search follows that chain and
+    passes no segment twice: the scan is linear.
+    """
     positive = np.flatnonzero(scores > 0)
     if not len(positive):
         return []
     total = np.concatenate([[0.0], np.cumsum(scores)])
-    held: list[list] = []  # first, past, sum before, sum after
+    held: list[tuple[int, int, float, float, int]] = []  # first, past, sum before, sum after, place of the last smaller sum before
     for i, before, after in zip(positive.tolist(), total[positive].tolist(), total[positive + 1].tolist(), strict=True):
-        new = [i, i + 1, before, after]
+        first, j = i, len(held) - 1
         while True:
-            j = len(held) - 1
-            while j >= 0 and held[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or held[j][3] >= new[3]:
-                held.append(new)
+            while j >= 0 and held[j][2] >= before:
+                j = held[j][4]
+            if j < 0 or held[j][3] >= after:
+                held.append((first, i + 1, before, after, j))
                 break
-            new = [held[j][0], new[1], held[j][2], new[3]]
+            first, _, before, _, back = held[j]
             del held[j:]
-    return [(a, b, r - l) for a, b, l, r in held]
+            j = back
+    return [(a, b, r - l) for a, b, l, r, _ in held]
 
 
 def surprises(found: list[tuple[int, int, float]], n: int, law: tuple[float, float]) -> tuple[float, float, list]:
@@ -108,7 +112,7 @@ def _count_words(batches):
 
 
 def lexicon(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted hashes, log-odds and clean frequency of at most MOST_UNITS units whose odds differ, from counts by word."""
+    """Sorted hashes, log-odds and clean frequency of the units whose odds differ, from counts by word of the bounded sample."""
     n = counts.agg(F.sum("clean"), F.sum("toxic")).first()
     none = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
     if not n[0] or not n[1]:
@@ -120,8 +124,6 @@ def lexicon(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows = (
         counts.select("h", odds.alias("odds"), (F.col("clean") / a).alias("p"), (odds / F.sqrt(1 / t + 1 / c)).alias("z"))
         .where((F.abs("z") >= LEAST_Z) & (F.abs("odds") > COST))
-        .orderBy(F.abs("z").desc(), "h")
-        .limit(MOST_UNITS)
         .collect()
     )
     h = np.array([r.h for r in rows], np.int64).view(np.uint64)

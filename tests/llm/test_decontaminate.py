@@ -71,7 +71,6 @@ def test_proximity(spark):
     index = decontaminate.build_index(df, terms, 10)
     queries = [(1, ["a", "b", "c"]), (2, ["d", "e"]), (3, ["a", "zz"])]
     got = decontaminate.proximity(index, spark.createDataFrame(queries, "query int, words array<string>"), 4).collect()
-    key = {r.row: r.doc_id for r in decontaminate.row_key(df).collect()}
     n = collections.Counter(w for _, t in docs for w in t.split())
     expected = set()
     for q, ws in queries:
@@ -82,7 +81,7 @@ def test_proximity(spark):
             for p, w in enumerate(own):
                 if n[w] == min(n[x] for x in ws) and w in ws and all(any(own[k] == x for k in range(max(0, p - 4), min(len(own), p + 5))) for x in ws):
                     expected.add((q, d, p))
-    assert {(r.query, key[r.row], r.pos) for r in got} == expected
+    assert {(r.query, r.row.doc_id, r.pos) for r in got} == expected
 
 
 def test_empty_tables(spark):
@@ -90,3 +89,22 @@ def test_empty_tables(spark):
     out = decontaminate.report(documents(spark, ODD), none).collect()
     assert len(out) == len(ODD) and not any(r.contaminated for r in out)
     assert decontaminate.report(documents(spark, []), none).count() == 0
+
+
+def test_columns_whose_names_clash_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    names = ["_row", "row", "own", "found", "term", "pos", "phrase", "item_id"]
+    docs = documents(spark, [(1, "nothing here"), (2, "a b c d e f g h i j k"), (None, "x")], extra=False).select("*", *[F.lit(f"v {n}").alias(n) for n in names])
+    items = spark.createDataFrame([("i", "b c d e f g h i j k l"), ("k", "b c d e f g h i j k")], "item_id string, text string")
+    out = decontaminate.drop_contaminated(docs, items)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert sorted(str(r.doc_id) for r in got) == ["1", "None"] and all(r[n] == f"v {n}" for r in got for n in names)
+
+
+def test_repetitive_texts_and_items(spark):
+    docs = documents(spark, [(1, "la " * 3000), (2, "la " * 9), (3, "la di " * 500)])
+    items = spark.createDataFrame([("many", "la " * 300), ("again", "la " * 40), ("one", "la"), ("two", "di la")], "item_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.report(docs, items).collect()}
+    assert got == {1: (3000, 3000, 3), 2: (9, 9, 1), 3: (1000, 999, 2)}

@@ -123,3 +123,20 @@ def test_only_near_copies_are_left(spark):
     assert got[3] == base and got[4] == texts[4]
     assert got[5] == other and got[6] == [texts[6][6]]
     assert got[None] == texts[None] and got[7] == texts[7][6:]
+
+
+def test_columns_whose_names_clash(spark):
+    from pyspark.sql import functions as F
+
+    text = "one line here\nand another line\nand a third"
+    docs = documents(spark, [(1, text), (2, "own\n" + text)], extra=False)
+    names = ["gone", "_spans", "spans", "_row", "row", "own", "_tried", "tried", "n_lines", "n_removed", "key", "first"]
+    docs = docs.select("*", *[F.lit(f"v {n}").alias(n) for n in names])
+    out = linededup.drop_repeats(docs, leave_revisions=True)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[2].text == "own" and got[1].text == text
+    assert all(r[n] == f"v {n}" for r in got.values() for n in names)
+    full = linededup.remove(docs)
+    assert full.columns == [c for c in docs.columns if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
+    assert {r.doc_id: r.n_removed for r in full.collect()} == {1: 0, 2: 3}

@@ -79,3 +79,20 @@ def test_nothing_to_learn(spark):
     assert toxicity.keep_clean(docs, model).count() == len(ODD)
     empty = documents(spark, [])
     assert toxicity.score(empty, toxicity.fit(empty, none)).count() == 0
+
+
+def test_the_scan_is_linear():
+    import time
+
+    import numpy as np
+
+    def seconds(n):
+        scores = np.where(np.arange(n) % 2 == 0, 1.0, -1.5) + np.linspace(0, 0.4, n)
+        began = time.process_time()
+        toxicity.segments(scores)
+        return time.process_time() - began
+
+    assert seconds(80_000) < 2.0
+    falling = np.tile([1.0, -1.01], 40_000)
+    began = time.process_time()
+    assert len(toxicity.segments(falling)) == 40_000 and time.process_time() - began < 2.0
