@@ -254,7 +254,7 @@ def revisions(docs: DataFrame, copies: DataFrame, tables: Tables) -> DataFrame:
     pairs = copies.select(kept("home_row").alias("a"), F.col("row").alias("b"))
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     own = neardup.as_sets(worded.join(ends, "doc_id", "left_semi")).select(F.col("doc_id").alias("node"), "items").dropDuplicates(["node"])
-    sure = neardup.confirm(own, pairs, tables).withColumnRenamed("b", "row")
+    sure = neardup.confirm(tables.keep(own), pairs, tables).withColumnRenamed("b", "row")
     # an earlier document that is left itself does not keep less, and is no place that stays
     return sure.join(sure.select(kept("row").alias("a")).distinct(), "a", "left_anti").select("row").distinct()
 

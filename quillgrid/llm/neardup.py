@@ -210,12 +210,9 @@ def _confirmed(batches):
 
 
 def confirm(own: DataFrame, pairs: DataFrame, tables: Tables) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. own: node and items, one row a node, of all nodes of the pairs."""
-    own = tables.keep(own)
-    side = lambda k, v: own.select(F.col("node").alias(k), F.col("items").alias(v))
-    out = tables.keep(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(tidy(_confirmed), "a long, b long"))
-    tables.drop(own)
-    return out
+    """The pairs (a, b) whose full sets are similar enough. own: node and items, a table with one row for each node of the pairs at least."""
+    side = lambda k, v: own.select(F.col("node").alias(k), F.col("items").alias(v)).hint("merge")
+    return tables.keep(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(tidy(_confirmed), "a long, b long"))
 
 
 def components(links: DataFrame, tables: Tables) -> DataFrame:
@@ -289,15 +286,16 @@ def groups(docs: DataFrame) -> DataFrame:
     near = tables.keep(reps.select("node", F.col("n_shingles").alias("n"), "sketch").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
     # ids that have several texts, and the first of their nodes
     several = tables.keep(rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count_if(F.col("node").isNull()).alias("empty")).where("lo <> hi or (empty > 0 and lo is not null)").select("doc_id", "lo"))
-    known = tables.keep(components(rows.join(several, "doc_id").where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")), tables))
-
-    def sure(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(classes, "node")
-        texts = docs.join(ends.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        return confirm(as_sets(texts).join(ends.select("digest", "node"), "digest").select("node", "items").dropDuplicates(["node"]), pairs, tables)
+    known = spark.createDataFrame([], "doc long, comp long")
+    if not several.isEmpty():
+        known = tables.keep(components(rows.join(several, "doc_id").where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")), tables))
+    # full sets of nodes that share a bucket; texts are shuffled once to meet them, at every size alike
+    ends = near.select("node").join(classes, "node")
+    texts = docs.join(ends.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+    full_sets = tables.keep(as_sets(texts).join(ends.select("digest", "node"), "digest").select("node", "items").dropDuplicates(["node"]))
 
     def grown(links: DataFrame) -> DataFrame:
-        return tables.keep(components(known.select(F.col("doc").alias("a"), F.col("comp").alias("b")).union(links), tables))
+        return known if links.isEmpty() else tables.keep(components(known.select(F.col("doc").alias("a"), F.col("comp").alias("b")).union(links), tables))
 
     def placed() -> DataFrame:
         return members.join(known.select(F.col("doc").alias("node"), "comp"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
@@ -305,14 +303,14 @@ def groups(docs: DataFrame) -> DataFrame:
     side = lambda x: near.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     for _ in range(2):
         tried = tables.keep(tries(placed()))
-        known = grown(sure(tables.keep(tried.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidy(_likely), "a long, b long"))))
+        known = grown(confirm(full_sets, tables.keep(tried.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidy(_likely), "a long, b long")), tables))
 
     work = tables.keep(blocks(open_buckets(placed())))
     for whole in (False, True):
         full = work.join(near, "node").select("g", "node", "comp", "side", "n", "sketch")
         told = tables.keep(full.repartition("g").sortWithinPartitions("g", "node").mapInArrow(tidy(_told(whole)), "g long, a long, b long"))
         pairs = tables.keep(told.select("a", "b").distinct())
-        found = sure(pairs)
+        found = confirm(full_sets, pairs, tables)
         known = grown(found)
         refuted = told.join(found, ["a", "b"], "left_anti").select("g").distinct()
         if whole or refuted.isEmpty():

@@ -140,3 +140,35 @@ def test_columns_whose_names_clash(spark):
     full = linededup.remove(docs)
     assert full.columns == [c for c in docs.columns if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
     assert {r.doc_id: r.n_removed for r in full.collect()} == {1: 0, 2: 3}
+
+
+def brute(rows):
+    """Text by row: pairs of neighbouring lines and long lines stay where they come first, and go elsewhere. For texts without empty lines."""
+    first, gone = {}, {}
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        lines, out = t.split("\n"), set()
+        for n in (1, 2):
+            for k in range(len(lines) - n + 1):
+                own = tuple(lines[k : k + n])
+                if n == 1 and len(own[0].encode()) < linededup.LONG:
+                    continue
+                home = first.setdefault(own, (i, k))
+                if home[0] != i or k >= home[1] + n:
+                    out.update(range(k, k + n))
+        gone[i] = "\n".join(x for k, x in enumerate(lines) if k not in out)
+    return gone
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(9)
+    line = lambda: rng.choice([f"common {rng.randrange(12)}", f"rare {rng.randrange(400)}", f"rare {rng.randrange(400)}", "long " * 50 + str(rng.randrange(8)), f"é{rng.randrange(300)}"])
+    rows = []
+    for i in range(150):
+        lines = [line() for _ in range(rng.randrange(1, 14))]
+        if i % 4 == 0 and rows:
+            own = rng.choice(rows)[1].split("\n")
+            a = rng.randrange(len(own))
+            lines[1:1] = own[a : a + rng.randrange(1, 9)]
+        rows.append((i, "\n".join(lines)))
+    got = {r.doc_id: r.text for r in linededup.remove(documents(spark, rows)).collect()}
+    assert got == brute(rows)
