@@ -1,30 +1,37 @@
 """Language-model scores by a log-bilinear neural model trained with noise-contrastive estimation.
 
-Tokens are words (see _text) and one end for each document. A token's class is the end, one of the HEADS most
-frequent training words, or the ending of any other word. The probability of a token is that of its class given the
-classes of the two tokens before it, times its smoothed share of its class:
+Tokens are words (see _text) and one end for each document. The outputs of the model are the end, each of the at most
+WORDS most frequent training words, and an ending (a hash of the last two bytes) for every other word. A context is the
+two tokens before, by input vectors of their classes: the end, the HEADS most frequent words, or an ending.
 
-    p(w | a, b) = softmax over classes of (r_a A + r_b B) . q + bias, at class(w), times (c(w) + 0.5) / (S(class) + 0.5)
+    p(w | a, b) = softmax over outputs of (r_a A + r_b B) . q + bias, at output(w), times (c(w) + 0.5) / (S(ending) + 0.5)
 
-S sums c + 0.5 over the class's training words, so each ending keeps 0.5 for a word never seen and all sums to one.
-The class model is trained in numpy with noise-contrastive estimation. All training tokens count: their class
-trigrams, at most CLASSES^3 numbers, are gathered whole, and each step takes the exact expectation over data and
-noise. Scoring normalises by batched matrix products over the distinct contexts of a block.
+The second factor is 1 for words with an output of their own. S sums c + 0.5 over the ending's other training words, so each
+ending keeps 0.5 for a word never seen and all sums to one. Scoring normalises by batched matrix products over the
+distinct contexts of a block.
+
+Training has two stages, both over all training tokens. First the class trigrams, at most CLASSES^3 numbers, are gathered
+whole, and each step takes the exact expectation over data and noise; every word then starts from its class. Then each
+task goes over the tokens of its blocks with noise words drawn for each of its steps, and the tasks' parameters are averaged by their
+tokens, ROUNDS times. What this gathers is one set of parameters a task, so it grows with the input.
 
 Texts are cut once into blocks of whole documents, stored as word numbers with the block's distinct words. Only those
 words (hash, place, training count) are shuffled to be counted over the corpus, and their counts go back to the
-block, so a frequent word costs one row a block. Words are known by 64-bit hashes.
+block by an equi-join that Spark may split where a word is in very many blocks. Words are known by 64-bit hashes.
 
 Cases: a null or empty text is its end alone; a null doc_id is no held-out row; repeated rows count and are scored each;
-without training rows every count is 0, and the class model is uniform. Other columns are ignored.
+without training rows every count is 0, and the model is uniform over its outputs. Other columns are ignored. A block of 2^24 distinct words
+and more (one text of over 100 MB), and a partition of 2^12 blocks and more (48 GB), raise an error.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgrid.functions.batches import bounded
@@ -36,6 +43,8 @@ from ._text import Words, mix, pieces
 #: Fixed parameters: classes of words, bytes of text in a block, width of the vectors, noise words per word, steps.
 HEADS, ENDINGS, BLOCK_BYTES, WIDTH, NOISE, STEPS = 63, 64, 12 << 20, 24, 10, 200
 CLASSES = 1 + HEADS + ENDINGS
+#: Words with an output of their own and the least count of one, rounds of averaging, pairs of a step, noise words drawn for it, rate.
+WORDS, LEAST, ROUNDS, BATCH, DRAWN, RATE = 4095, 10, 2, 4096, 128, 0.015
 END = 1
 
 
@@ -141,32 +150,95 @@ def train(trigrams: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
 
 
 def log_probabilities(p: dict[str, np.ndarray], ctx: np.ndarray) -> np.ndarray:
-    """Normalised log10 probabilities of all classes in each context."""
+    """Normalised log10 probabilities of all outputs in each context."""
     s = (p["r"][ctx // CLASSES] @ p["A"] + p["r"][ctx % CLASSES] @ p["B"]) @ p["q"].T + p["bias"]
     s -= s.max(1, keepdims=True)
     return (s - np.log(np.exp(s).sum(1, keepdims=True))) / np.float32(np.log(10))
 
 
-def scores(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row, learnt from the rest."""
+@dataclass
+class Model:
+    heads: np.ndarray  # sorted hashes of the HEADS most frequent words
+    words: np.ndarray  # sorted hashes of the words with an output of their own
+    mass: np.ndarray  # S of each ending
+    total: int  # training tokens
+    distinct: int  # different ones
+    share: np.ndarray  # of each output in the training tokens
+    p: dict[str, np.ndarray]
+
+
+def outputs(words: np.ndarray, ending: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The output of each word; own: sorted hashes of the words that have one."""
+    out = 1 + len(own) + ending.astype(np.int64)
+    if len(own):
+        k = np.minimum(np.searchsorted(own, words), len(own) - 1)
+        out = np.where(own[k] == words, 1 + k, out)
+    return np.where(words == END, 0, out)
+
+
+def refine(p: dict[str, np.ndarray], share: np.ndarray, context: np.ndarray, output: np.ndarray, n: np.ndarray, rng: np.random.Generator) -> dict[str, np.ndarray]:
+    """Parameters after one pass over pairs of context and output, each n times, against noise drawn by share (AdaGrad, falling rate)."""
+    p = {k: v.copy() for k, v in p.items()}
+    seen = {k: np.full_like(v, 1e-6) for k, v in p.items()}
+    cdf, shift = np.cumsum(share), np.log(DRAWN * share).astype(np.float32)
+    real_or_not = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    order = rng.permutation(len(context))
+    for at in range(0, len(order), BATCH):
+        i = order[at : at + BATCH]
+        two, one, y, weight = context[i] // CLASSES, context[i] % CLASSES, output[i], (n[i] / n[i].sum()).astype(np.float32)
+        z = np.minimum(np.searchsorted(cdf, rng.random(DRAWN) * cdf[-1]), len(share) - 1)
+        ra, rb, qy, qz = p["r"][two], p["r"][one], p["q"][y], p["q"][z]
+        guess = ra @ p["A"] + rb @ p["B"]
+        dy = (real_or_not((guess * qy).sum(1) + p["bias"][y] - shift[y]) - 1) * weight
+        dz = real_or_not(guess @ qz.T + p["bias"][z] - shift[z]) * weight[:, None]
+        back = dy[:, None] * qy + dz @ qz
+        grads = {k: np.zeros_like(p[k]) for k in ("q", "bias", "r")} | {"A": ra.T @ back, "B": rb.T @ back}
+        by = np.argsort(y, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(y[by]) != 0))
+        grads["q"][y[by][first]], grads["bias"][y[by][first]] = np.add.reduceat((dy[:, None] * guess)[by], first), np.add.reduceat(dy[by], first)
+        np.add.at(grads["q"], z, dz.T @ guess)
+        np.add.at(grads["bias"], z, dz.sum(0))
+        for own, mix_ in ((two, "A"), (one, "B")):
+            chosen = np.zeros((CLASSES, len(i)), np.float32)
+            chosen[own, np.arange(len(i))] = 1
+            grads["r"] += chosen @ (back @ p[mix_].T)
+        for k, v in grads.items():
+            seen[k] += v * v
+            p[k] -= (RATE * (1 - at / len(order)) * v / np.sqrt(seen[k])).astype(np.float32)
+    return p
+
+
+def packed(p: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([p[k].ravel() for k in sorted(p)])
+
+
+def unpacked(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    ends = np.cumsum([like[k].size for k in sorted(like)])
+    return {k: x.reshape(like[k].shape).astype(np.float32) for k, x in zip(sorted(like), np.split(flat, ends[:-1]), strict=True)}
+
+
+def _lists(batch: pa.RecordBatch, row: int, *names: str) -> list[np.ndarray]:
+    return [batch.column(x)[row].values.to_numpy(zero_copy_only=False) for x in names]
+
+
+def fit(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the blocks of docs, and the training count of every word of a block (place, c)."""
     spark = bounded(docs.sparkSession)
     tables = Tables(spark, "lm")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", modulus, remainder).alias("held_out"), "text")
     blocks = tables.keep(rows.mapInArrow(tidy(_blocks), "block long, doc_id array<long>, held_out array<boolean>, lens array<int>, idx array<int>, words array<long>, tf array<int>, ending array<tinyint>"), rows_per_file=4)
 
-    # a word of a block as (hash, place, 64 times its training count plus its ending)
-    places = blocks.select("block", F.posexplode(F.arrays_zip("words", "tf", "ending")).alias("k", "w")).select(
-        F.col("w.words").alias("h"), F.shiftleft("block", 24).bitwiseOR(F.col("k")).alias("place"), (F.col("w.tf").cast("long") * ENDINGS + F.col("w.ending")).alias("own")
-    )
-    same, ordered = Window.partitionBy("h"), Window.partitionBy("h").orderBy("place")
-    first = F.row_number().over(ordered) == 1
-    counted = tables.keep(
-        places.select("place", F.sum(F.shiftright("own", 6)).over(same).alias("c"), F.when(first, F.col("h")).alias("h"), F.when(first, F.col("own").bitwiseAND(F.lit(ENDINGS - 1))).alias("ending"))
-    )
-    known = counted.where("h is not null and c > 0")
-    total, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    heads = np.sort(np.array([r.h for r in known.where(F.col("h") != END).orderBy(F.desc("c"), "h").limit(HEADS).collect()], np.int64))
-    tail = known.where((F.col("h") != END) & ~F.col("h").isin(heads.tolist()) if len(heads) else F.col("h") != END)
+    places = blocks.select("block", F.posexplode(F.arrays_zip("words", "tf", "ending")).alias("k", "w")).select(F.col("w.words").alias("h"), F.shiftleft("block", 24).bitwiseOR(F.col("k")).alias("place"), F.col("w.tf").alias("tf"), F.col("w.ending").alias("ending"))
+    known = tables.keep(places.where("tf > 0").groupBy("h").agg(F.sum("tf").alias("c"), F.max("ending").alias("ending")))
+    counted = tables.keep(places.select("h", "place").join(known.select("h", "c"), "h").select("place", "c"))
+    total, distinct, ends = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("h") == END, F.col("c"))), F.lit(0))).first()
+    top = known.where(F.col("h") != END).orderBy(F.desc("c"), "h").limit(max(WORDS, HEADS)).collect()
+    heads = np.sort(np.array([r.h for r in top[:HEADS]], np.int64))
+    top = sorted((r for r in top[:WORDS] if r.c >= LEAST), key=lambda r: r.h)
+    own = np.array([r.h for r in top], np.int64)
+    tail = known.where(F.col("h") != END)
+    if top:
+        tail = tail.join(F.broadcast(spark.createDataFrame([(r.h,) for r in top], "h long")), "h", "left_anti")  # at most WORDS rows
     mass = np.full(ENDINGS, 0.5)
     for r in tail.groupBy("ending").agg(F.sum(F.col("c") + F.lit(0.5)).alias("s")).collect():
         mass[r.ending] += r.s
@@ -175,7 +247,7 @@ def scores(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
         seen = np.zeros(CLASSES**3, np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                words, ending, idx, lens, out = (batch.column(x)[row].values.to_numpy(zero_copy_only=False) for x in ("words", "ending", "idx", "lens", "held_out"))
+                words, ending, idx, lens, out = _lists(batch, row, "words", "ending", "idx", "lens", "held_out")
                 seq = classes(words, ending, heads)[idx]
                 use = np.repeat(~out.astype(bool), lens)
                 seen += np.bincount(contexts(seq, lens)[use] * CLASSES + seq[use], minlength=CLASSES**3)
@@ -183,30 +255,74 @@ def scores(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
         for a in range(0, len(code), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(code[a : a + (1 << 16)], pa.int32()), pa.array(seen[code[a : a + (1 << 16)]])], ["code", "n"])
 
-    got = blocks.select("words", "ending", "idx", "lens", "held_out").mapInArrow(tidy(trigrams), "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    texts = blocks.select("block", "words", "ending", "idx", "lens", "held_out")
+    got = texts.mapInArrow(tidy(trigrams), "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     whole = np.zeros(CLASSES**3)
     whole[got.column("code").to_numpy()] = got.column("n").to_numpy()
-    model = train(whole.reshape(CLASSES**2, CLASSES))
+    del got
+    p = train(whole.reshape(CLASSES**2, CLASSES))
+
+    # every output starts from its class, so the model begins as that of classes
+    count = np.concatenate([[ends], [r.c for r in top], mass]) + 0.5
+    share = count / count.sum()
+    of = np.concatenate([[0], classes(own, np.array([r.ending for r in top], np.int8), heads), 1 + HEADS + np.arange(ENDINGS)]).astype(np.int64)
+    held = np.bincount(of, weights=share, minlength=CLASSES)
+    p = p | {"q": p["q"][of], "bias": (p["bias"][of] + np.log(share / held[of])).astype(np.float32)}
+
+    for k in range(ROUNDS if total else 0):
+
+        def one_pass(batches, p=p, k=k):
+            now, tokens = p, 0
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    words, ending, idx, lens, out = _lists(batch, row, "words", "ending", "idx", "lens", "held_out")
+                    use = np.repeat(~out.astype(bool), lens)
+                    pair = contexts(classes(words, ending, heads)[idx], lens)[use] * len(share) + outputs(words, ending, own)[idx][use]
+                    if len(pair):
+                        code, n = np.unique(pair, return_counts=True)
+                        now = refine(now, share, code // len(share), code % len(share), n, np.random.default_rng([k, batch.column("block")[row].as_py()]))
+                        tokens += len(pair)
+            if tokens:
+                yield pa.RecordBatch.from_arrays([pa.array([float(tokens)]), pa.array([packed(now)], pa.list_(pa.float32()))], ["tokens", "p"])
+
+        each = texts.mapInArrow(tidy(one_pass), "tokens double, p array<float>").select("tokens", F.posexplode("p").alias("at", "x"))
+        mean = each.groupBy("at").agg((F.sum(F.col("x") * F.col("tokens")) / F.sum("tokens")).alias("x")).toArrow().sort_by("at")
+        p = unpacked(mean.column("x").to_numpy(), p)
+    return Model(heads, own, mass, total, distinct, share, p), blocks, counted
+
+
+def score(model: Model, blocks: DataFrame, counted: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    p, own, mass, total, distinct = model.p, model.words, model.mass, model.total, model.distinct
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        count = np.zeros(right.num_rows, np.int64)
-        count[right.column("place").to_numpy() & ((1 << 24) - 1)] = right.column("c").to_numpy()
         words, ending, idx, lens, out = (left.column(x)[0].values.to_numpy(zero_copy_only=False) for x in ("words", "ending", "idx", "lens", "held_out"))
-        cls = classes(words, ending, heads)
+        count = np.zeros(len(words), np.int64)
+        count[right.column("place").to_numpy() & ((1 << 24) - 1)] = right.column("c").to_numpy()
         base = np.log10((count + 0.5) / (total + 0.5 * (distinct + 1)))
-        share = np.where(cls > HEADS, np.log10((count + 0.5) / mass[np.maximum(cls - 1 - HEADS, 0)]), 0.0)
-        seq = cls[idx]
-        used, at = np.unique(contexts(seq, lens), return_inverse=True)
-        token = log_probabilities(model, used)[at, seq] + share[idx]
+        to = outputs(words, ending, own)
+        share = np.where(to > len(own), np.log10((count + 0.5) / mass[np.maximum(to - 1 - len(own), 0)]), 0.0)
+        used, at = np.unique(contexts(classes(words, ending, model.heads)[idx], lens), return_inverse=True)
+        order, token, seq = np.argsort(at, kind="stable"), np.empty(len(idx), np.float32), to[idx]
+        edges = np.searchsorted(at[order], np.arange(0, len(used) + 512, 512))
+        for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            rows = order[a:b]
+            token[rows] = log_probabilities(p, used[512 * k : 512 * (k + 1)])[at[rows] - 512 * k, seq[rows]]
+        whole = token + share[idx]
         edge = np.concatenate([[0], np.cumsum(lens)])[:-1]
         each = lambda x: np.add.reduceat(x, edge)  # noqa: E731  every document has its end
         n = len(lens)
-        return pa.table([left.column("doc_id")[0].values, pa.array(out.astype(bool)), pa.array(lens.astype(np.int64)), pa.array(each((count[idx] > 0).astype(np.int64))), pa.array(np.full(n, total)), pa.array(each(base[idx])), pa.array(each(token.astype(np.float64)))], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.table([left.column("doc_id")[0].values, pa.array(out.astype(bool)), pa.array(lens.astype(np.int64)), pa.array(each((count[idx] > 0).astype(np.int64))), pa.array(np.full(n, total)), pa.array(each(base[idx])), pa.array(each(whole.astype(np.float64)))], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     back = counted.select(F.shiftright("place", 24).alias("block"), "place", "c")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return blocks.drop("tf").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, schema)
 
 
+def scores(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row, learnt from the rest."""
+    return score(*fit(docs, modulus, remainder))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))

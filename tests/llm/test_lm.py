@@ -37,6 +37,38 @@ def test_model_probabilities_sum_to_one_and_beat_the_base(spark, sf):
     assert r.s > r.b
 
 
+@pytest.mark.parametrize("words_of_their_own", [3, 4095])
+def test_scores_against_brute_force(spark, monkeypatch, words_of_their_own):
+    monkeypatch.setattr(lm, "WORDS", words_of_their_own)
+    rows = [(i, " ".join(["ab", "cd", "ef", "gh", "ab", f"w{i * k % 90}"][(i * k) % 6] for k in range(i % 19))) for i in range(160)] + [(161, None), (162, "never seen")]
+    model, blocks, counted = lm.fit(documents(spark, rows))
+    got = {r.doc_id: r.score for r in lm.score(model, blocks, counted).collect()}
+    c = collections.Counter(w for i, t in rows if not held(i) for w in [*words(t), None])
+    hashes = lambda ws: Words(pa.array([" ".join(ws)])).hash.view(np.int64)
+    kinds = lambda ws: lm.endings(Words(pa.array([" ".join(ws)])), np.arange(len(ws)))
+    top = sorted((w for w in c if w is not None), key=lambda w: (-c[w], int(hashes([w])[0])))
+    own = [w for w in top[:words_of_their_own] if c[w] >= lm.LEAST]
+    assert sorted(int(hashes([w])[0]) for w in own) == model.words.tolist() and model.heads.tolist() == sorted(int(hashes([w])[0]) for w in top[: lm.HEADS])
+    mass = np.full(lm.ENDINGS, 0.5)
+    for w in c:
+        if w is not None and w not in own:
+            mass[kinds([w])[0]] += c[w] + 0.5
+    assert np.allclose(mass, model.mass)
+    order = sorted(int(hashes([w])[0]) for w in own)
+    cls = lambda w: 0 if w is None else 1 + model.heads.tolist().index(int(hashes([w])[0])) if w in top[: lm.HEADS] else 1 + lm.HEADS + int(kinds([w])[0])
+    out = lambda w: 0 if w is None else 1 + order.index(int(hashes([w])[0])) if w in own else 1 + len(own) + int(kinds([w])[0])
+    q = {k: v.astype(float) for k, v in model.p.items()}
+
+    def log10(a, b, w):
+        x = q["q"] @ (q["r"][cls(a)] @ q["A"] + q["r"][cls(b)] @ q["B"]) + q["bias"]
+        share = 1.0 if w is None or w in own else (c[w] + 0.5) / mass[kinds([w])[0]]
+        return (x[out(w)] - np.log(np.exp(x).sum())) / np.log(10) + np.log10(share)
+
+    for i, t in rows:
+        ws = [None, None, *words(t), None]
+        assert abs(got[i] - sum(log10(ws[k - 2], ws[k - 1], ws[k]) for k in range(2, len(ws)))) < 1e-3, i
+
+
 def test_classes_and_contexts():
     w = Words(pa.array(["cat hat", "at"]))
     e = lm.endings(w, np.arange(3))
