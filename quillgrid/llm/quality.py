@@ -67,12 +67,12 @@ def structure(w: Words, declared: np.ndarray) -> np.ndarray:
     )
 
 
-def hashed(w: Words, a: int, b: int) -> np.ndarray:
-    """Unit vectors of log counts over BUCKETS, for documents a to b."""
+def hashed(w: Words, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors of log counts over BUCKETS, for documents a to b: row, bucket and value of what is not 0."""
     cell = (w.hash[w.off[a] : w.off[b]] >> np.uint64(52)).astype(np.int64) & (BUCKETS - 1)
-    doc = np.repeat(np.arange(b - a), w.counts[a:b])
-    x = np.log1p(np.bincount(doc * BUCKETS + cell, minlength=(b - a) * BUCKETS)).reshape(b - a, BUCKETS).astype(np.float32)
-    return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
+    key, n = np.unique(np.repeat(np.arange(b - a), w.counts[a:b]) * BUCKETS + cell, return_counts=True)
+    row, x = key // BUCKETS, np.log1p(n)
+    return row, key % BUCKETS, (x / np.sqrt(np.bincount(row, x * x, minlength=b - a))[row]).astype(np.float32)
 
 
 def forward(x: np.ndarray, m: Machine) -> tuple[np.ndarray, np.ndarray]:
@@ -81,6 +81,15 @@ def forward(x: np.ndarray, m: Machine) -> tuple[np.ndarray, np.ndarray]:
     return m.bias + x @ m.linear + 0.5 * ((s * s) - (x * x) @ (m.factors * m.factors)).sum(1), s
 
 
+def sparse_forward(row: np.ndarray, at: np.ndarray, x: np.ndarray, stats: np.ndarray, m: Machine) -> np.ndarray:
+    """forward() without the zeros: hashed words as row, bucket and value, and the statistics of every row; linear in what is not 0."""
+    total = lambda v: np.bincount(row, v, minlength=len(stats))
+    own, rest = m.factors[:BUCKETS].astype(float), m.factors[BUCKETS:].astype(float)
+    s = np.column_stack([total(x * own[at, k]) for k in range(RANK)]) + stats @ rest
+    squares = total(x * x * (own * own).sum(1)[at]) + (stats * stats) @ (rest * rest).sum(1)
+    return m.bias + total(x * m.linear[at]) + stats @ m.linear[BUCKETS:] + 0.5 * ((s * s).sum(1) - squares)
+
+
 def _declared(batch: pa.RecordBatch, w: Words) -> np.ndarray:
     own = np.diff(w.doc_off).astype(float)
     if "n_chars" not in batch.schema.names:
@@ -95,14 +104,13 @@ def _sparse(batches):
         stats = structure(w, _declared(batch, w))
         for a in range(0, batch.num_rows, _DOCS):
             b = min(a + _DOCS, batch.num_rows)
-            x = hashed(w, a, b)
-            row, col = np.nonzero(x)
+            row, col, x = hashed(w, a, b)
             off = pa.array(np.searchsorted(row, np.arange(b - a + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("y")[a:b],
                     pa.ListArray.from_arrays(off, pa.array(col, pa.int32())),
-                    pa.ListArray.from_arrays(off, pa.array(x[row, col])),
+                    pa.ListArray.from_arrays(off, pa.array(x)),
                     pa.array(list(stats[a:b]), pa.list_(pa.float64())),
                 ],
                 ["y", "at", "x", "stats"],
@@ -156,8 +164,8 @@ def score(docs: DataFrame, m: Machine) -> DataFrame:
             for part in pieces(batch, "text"):
                 w = Words(part.column("text"))
                 stats = ((structure(w, _declared(part, w)) - m.mean) / m.scale).clip(-5, 5).astype(np.float32)
-                out = [forward(np.hstack([hashed(w, a, min(a + _DOCS, len(stats))), stats[a : a + _DOCS]]), m)[0] for a in range(0, len(stats), _DOCS)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sigmoid(np.concatenate(out).astype(float))), pa.array(w.counts)], ["doc_id", "score", "n_words"])
+                out = sparse_forward(*hashed(w, 0, len(stats)), stats.astype(float), m)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sigmoid(out)), pa.array(w.counts)], ["doc_id", "score", "n_words"])
 
     bounded(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[c for c in ("text", "n_chars") if c in docs.columns]).mapInArrow(tidy(run), "doc_id long, score double, n_words long")

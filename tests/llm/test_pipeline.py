@@ -39,3 +39,65 @@ def test_planted_cases(spark, tmp_path):
     assert out.keys() == kept.keys()
     piece = {v: k for k, v in bytebpe.read_ranks(bytebpe.default_path()).items()}
     assert all(b"".join(piece[i] for i in out[d]).decode() == (t or "") for d, t in kept.items())
+
+
+def test_against_brute_force(spark, tmp_path):
+    """Each stage's rows against a plain version of it on the rows before; no near copy here has equal lines at equal places."""
+    import hashlib
+
+    import pytest
+
+    from quillgrid.llm import toxicity
+
+    from . import test_decontaminate, test_linededup, test_neardup
+
+    tiktoken = pytest.importorskip("tiktoken")
+    rng = random.Random(21)
+    word = lambda: f"w{rng.randrange(900)}"
+    rows = []
+    for i in range(160):
+        lines = [" ".join(word() for _ in range(rng.randrange(6, 15))) for _ in range(rng.randrange(2, 8))]
+        if i % 5 == 0:
+            lines[0] += " vileword otherbad vileword vileword"
+        if i % 7 == 3:
+            own = rows[rng.randrange(len(rows))][1].split("\n")
+            lines = [word() + " alone here", *own[: rng.randrange(2, 4)], *lines]  # a passage at other places
+        if i % 11 == 6:
+            ws = rows[rng.randrange(len(rows))][1].split()
+            ws[rng.randrange(len(ws))] = word()
+            lines = [" ".join(ws)]  # a near copy in one line
+        rows.append((i, "\n".join(lines)))
+    labels = [(i, 1, int("vileword" in t)) for i, t in rows]
+    items = [(k, " ".join(rows[k * 9][1].split()[2:14])) for k in range(1, 8)]
+    spark.createDataFrame([(i, t, "en", "s", len(t), "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, _row string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    score = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}  # held against brute force in test_toxicity
+    own = [(i, t) for i, t in rows if score[i] < 0.5]
+    assert {i for i, t in rows if "vileword" in t} <= {i for i, _ in rows} - {i for i, _ in own}
+    text = test_linededup.brute(own)
+    own = [(i, text[i]) for i, t in own if text[i]]
+    kept = {k[0] for k in test_neardup.brute(own) if k[0] == k[2]}
+    own = [(i, t) for i, t in own if i in kept]
+    clean = {k[0] for k in test_decontaminate.brute(own, items) if not k[5]}
+    own = [(i, t) for i, t in own if i in clean]
+    known = tiktoken.Encoding("own", pat_str=bytebpe.ORIGINAL, mergeable_ranks=bytebpe.read_ranks(bytebpe.default_path()), special_tokens={})
+    expected = {i: hashlib.sha256(" ".join(map(str, known.encode_ordinary(t))).encode()).hexdigest() for i, t in own}
+    assert len(expected) < len(rows) and {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == expected
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path):
+    from .helpers import ODD
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, _row string, gone string, n_lines string, comp string"
+    odd = [(i, t, None, None, None, "a", "b", "c", "d", "e") for i, t in ODD]
+    for name, rows in (("odd", odd), ("none", [])):
+        at = f"{tmp_path}/{name}"
+        spark.createDataFrame(rows, schema).write.parquet(f"{at}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, at).collect()
+        # without labels, items or shared lines only copies could go, and rows of one id are no copies of each other
+        assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in rows)

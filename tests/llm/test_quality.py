@@ -14,6 +14,33 @@ def test_linear_time_identity():
     assert np.allclose(quality.forward(x, m)[0], pairs)
 
 
+def test_scores_against_brute_force(spark):
+    import collections
+    import math
+    import random
+
+    import pyarrow as pa
+
+    from quillgrid.llm._text import Words
+
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["good", "fine", "junk", "spam"][2 * (i % 2) :] + [f"w{k}" for k in range(30)]) for _ in range(rng.randrange(1, 60)))) for i in range(80)]
+    docs = documents(spark, rows + [(500 + k, t) for k, (_, t) in enumerate(ODD)])
+    m = quality.fit(docs, spark.createDataFrame([(i, 1 - i % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r.score for r in quality.score(docs, m).collect()}
+    for i, t in rows[:12] + [(501, "")]:
+        w = Words(pa.array([t]))
+        counts = collections.Counter(int(h >> 52) % quality.BUCKETS for h in w.hash.tolist())
+        x = {c: math.log1p(n) for c, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        stats = ((quality.structure(w, np.array([float(len(t))]))[0] - m.mean) / m.scale).clip(-5, 5)
+        x = {c: v / norm for c, v in x.items()} | {quality.BUCKETS + k: v for k, v in enumerate(stats.tolist())}
+        z = m.bias + sum(float(m.linear[c]) * v for c, v in x.items())
+        own = list(x.items())
+        z += sum(float(m.factors[a].astype(float) @ m.factors[b].astype(float)) * u * v for k, (a, u) in enumerate(own) for b, v in own[:k])
+        assert abs(got[i] - 1 / (1 + math.exp(-z))) < 1e-5
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from quillgrid.llm import toxicity
 from quillgrid.llm._labels import held_out
+from quillgrid.llm._text import Words
 
 from .helpers import ODD, documents
 
@@ -71,6 +73,26 @@ def test_planted_words_are_found_in_held_out_rows(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").where("doc_id < 9000").collect()) == [i for i, _, t in labels if not t]
 
 
+def test_scores_against_brute_force(spark):
+    import math
+
+    rows, labels = planted(200)
+    docs = documents(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    known = dict(zip(model.words.tolist(), model.scores.tolist(), strict=True))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    rate, k = model.law
+    for i, t in rows[:40]:
+        w = Words(pa.array([t]))
+        begun = {n: w.prefixes(n).tolist() for n in toxicity.BEGINNINGS}
+        own = [next((known[h] for h in (full, *(begun[n][j] for n in reversed(toxicity.BEGINNINGS))) if h in known), -toxicity.COST) for j, full in enumerate(w.hash.tolist())]
+        e = [k * len(own) * math.exp(-rate * s) for _, _, s in maximal(own)]
+        best = -math.log(-math.expm1(-min(e))) if e else 0.0
+        sure = sum(-math.log(x) for x in e if x < toxicity.SIGNIFICANT)
+        z = float(np.dot([math.log1p(best), math.log1p(sure), min(best, 20) / 10, 1], model.curve))
+        assert abs(got[i] - 1 / (1 + math.exp(-z))) < 1e-6, i
+
+
 def test_nothing_to_learn(spark):
     docs = documents(spark, ODD)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
