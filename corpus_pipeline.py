@@ -2,6 +2,12 @@
 
 Each stage works on all rows that its predecessor kept, and all but the last return the columns of documents. The
 last returns doc_id, n_tokens, ids, and digests of the ids and of the decoded bytes.
+
+Cases: null and empty texts pass all stages, and their ids are empty; a text whose lines all repeat earlier ones goes in line
+dedup. Rows with a null id are never copies of others and stay unless they are toxic, contaminated, or lose all their lines. Rows of one
+id and text are treated alike; rows of one id are one document in near-duplicate detection. Very long texts are worked on
+whole. Without labels, or with labels of one kind, nothing is toxic; without benchmark items nothing is contaminated; an empty table
+gives an empty table. Columns besides doc_id and text may have any names and come through unchanged, but n_chars, which follows a shortened text.
 """
 
 from __future__ import annotations
