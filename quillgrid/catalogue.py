@@ -44,7 +44,7 @@ r AS (SELECT *, value_a = '' AND value_b = '' AS e, lower(trim(value_a)) = lower
 
 
 def _both(spark: SparkSession, d: str) -> DataFrame:
-    return compare.pairs(ad.readings_a(spark, d), ad.readings_b(spark, d))
+    return compare.pairs(ad.strips(spark, d), ad.second_strips(spark, d))
 
 
 @query(_BOTH + f"""
@@ -154,16 +154,17 @@ def validator_outcomes(spark, d):
 # --- entities ---
 
 #: Classification as a recursion over strips. Names of different customers are never alike here, so equality stands for the ratio.
-_KINDS = f"""
-WITH RECURSIVE s AS ({ad.strips_sql()}), t AS (SELECT *, {" AND ".join(f"{n} = ''" for n in ad.GIVEN)} AS empty,
+def _kinds(where: str = "TRUE") -> str:
+    return f"""
+WITH RECURSIVE s AS (SELECT * FROM ({ad.strips_sql()}) z WHERE {where}), t AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY idx) AS n, {" AND ".join(f"{n} = ''" for n in ad.GIVEN)} AS empty,
   NOT ({" AND ".join(f"{n} = ''" for n in fixed.CONTENT if n in ad.GIVEN)}) AS content FROM s),
 k AS (
-  SELECT stem, 0 AS idx, '' AS kind, CAST(NULL AS STRING) AS reason, CAST(NULL AS STRING) AS name, '' AS place, '' AS number, '' AS sex, '' AS age FROM (SELECT DISTINCT stem FROM t) x
+  SELECT stem, CAST(0 AS BIGINT) AS n, 0 AS idx, '' AS kind, CAST(NULL AS STRING) AS reason, CAST(NULL AS STRING) AS name, '' AS place, '' AS number, '' AS sex, '' AS age FROM (SELECT DISTINCT stem FROM t) x
   UNION ALL
-  SELECT z.stem, z.idx, z.kind, z.reason, CASE WHEN z.kind = 'primary' THEN z.patient_name ELSE z.name END, CASE WHEN z.kind = 'primary' THEN z.village ELSE z.place END,
+  SELECT z.stem, z.n, z.idx, z.kind, z.reason, CASE WHEN z.kind = 'primary' THEN z.patient_name ELSE z.name END, CASE WHEN z.kind = 'primary' THEN z.village ELSE z.place END,
     CASE WHEN z.kind = 'primary' THEN z.record_no ELSE z.number END, CASE WHEN z.kind = 'primary' THEN z.own_sex ELSE z.sex END, CASE WHEN z.kind = 'primary' THEN z.age_yrs ELSE z.age END
   FROM (
-    SELECT t.stem, t.idx, t.patient_name, t.village, t.record_no, t.sex AS own_sex, t.age_yrs, k.name, k.place, k.number, k.sex, k.age,
+    SELECT t.stem, t.n, t.idx, t.patient_name, t.village, t.record_no, t.sex AS own_sex, t.age_yrs, k.name, k.place, k.number, k.sex, k.age,
       CASE WHEN t.empty THEN 'empty' WHEN k.name IS NULL THEN 'primary'
         WHEN t.record_no <> '' AND t.record_no = k.number AND t.patient_name <> '' AND k.name <> '' AND t.patient_name <> k.name THEN 'primary'
         WHEN CASE WHEN t.patient_name <> '' AND k.name <> '' THEN t.patient_name = k.name ELSE t.record_no = '' OR k.number = '' OR t.record_no = k.number END
@@ -173,13 +174,16 @@ k AS (
         WHEN t.record_no <> '' AND t.record_no = k.number AND t.patient_name <> '' AND k.name <> '' AND t.patient_name <> k.name THEN 'ambiguous-continuation'
         WHEN t.patient_name <> '' AND t.patient_name = k.name AND t.record_no <> '' AND k.number <> '' AND t.record_no <> k.number
           AND (t.sex = '' OR k.sex = '' OR t.sex = k.sex) AND (t.age_yrs = '' OR k.age = '' OR t.age_yrs = k.age) AND (t.village = '' OR k.place = '' OR t.village = k.place) AND t.content THEN 'recno-mismatch-name-match' END AS reason
-    FROM k JOIN t ON t.stem = k.stem AND t.idx = k.idx + 1
+    FROM k JOIN t ON t.stem = k.stem AND t.n = k.n + 1
   ) z
 ),
 seqs AS (SELECT t.*, k.kind, k.reason, CAST(sum(CASE WHEN k.kind = 'primary' THEN 1 ELSE 0 END) OVER (PARTITION BY t.stem ORDER BY t.idx) AS INT) AS seq FROM t JOIN k ON t.stem = k.stem AND t.idx = k.idx)
 """
 
 
+_KINDS = _kinds()
+
+
 @query(_KINDS + "SELECT stem, idx, kind, reason, CASE WHEN kind = 'empty' THEN NULL ELSE seq END AS seq FROM seqs")
 def entity_grouping(spark, d):
     c = reconcile.classify(ad.plain_strips(spark, d)).select("stem", "idx", "kind", "reason")
@@ -231,18 +235,72 @@ def _rereads(spark, d):
     return ad.plain_strips(spark, d).where("idx % 2 = 1").select("stem", "idx", full.alias("fields"), F.lit(5400).cast("long").alias("input_tokens"), F.lit(1000).cast("long").alias("output_tokens"))
 
 
-@query()
+def _same_person(record_no: str = "record_no", other: str = "rb") -> str:
+    return f"({record_no} <> '' AND {other} <> '' AND ({record_no} = {other} OR (length({record_no}) <> length({other}) AND (contains({record_no}, {other}) OR contains({other}, {record_no}) OR levenshtein({record_no}, {other}) <= 1))))"
+
+
+#: Readings of an entity's strips in long form, after repair; then merged strip by strip: the first valid reading, else the first.
+_FINE = {
+    "day": "TRY_CAST(v AS INT) BETWEEN 1 AND 31", "month": "TRY_CAST(v AS INT) BETWEEN 1 AND 12", "time_hh": "TRY_CAST(v AS INT) BETWEEN 0 AND 12", "time_mm": "TRY_CAST(v AS INT) BETWEEN 0 AND 59",
+    "age_yrs": "regexp_full_match(v, '[0-9]+([.][0-9]+)?')", "full_cost": "regexp_full_match(v, '[0-9]+([.][0-9]+)?')", "sex": "v IN ('M', 'F')", "result_pn": "v IN ('P', 'N')", "am_pm": "v IN ('AM', 'PM')",
+}
+_READ = [n for n in fixed.SCALARS if n in ad.GIVEN or n in fixed.REPAIRABLE]
+_CELL = ", ".join(f"{{'f': '{n}', 'pos': {fixed.SCALARS.index(n)}, 'rep': {n in fixed.REPAIRABLE}, 'given': {n in ad.GIVEN}, 'v': {n if n in ad.GIVEN else "''"}}}" for n in _READ)
+
+
+def _entities_sql(reread: str) -> str:
+    """The rows of entities, of which the strips where `reread` holds are read again."""
+    return _KINDS + f"""
+, r AS (SELECT *, needs AND ({reread}) AS used FROM (SELECT *, kind = 'primary' AND (({_empties(fixed.CHECKBOXES)}) = 4 OR ({_empties(fixed.CLIP)}) >= 5) AS needs, ({_empties(fixed.CHECKBOXES)}) = 4 AS box, 8 - ({_empties(fixed.CLIP)}) AS core FROM seqs WHERE kind <> 'empty') q),
+l AS (SELECT stem, seq, idx, c.f AS f, c.pos AS pos, used AND c.rep AND c.v = '' AS filled, CASE WHEN used AND c.rep AND c.v = '' THEN 'R' ELSE c.v END AS v,
+  CASE WHEN used AND c.rep AND c.v = '' THEN 'medium' WHEN NOT c.given THEN 'high' WHEN conf = 'illegible' THEN 'low' ELSE conf END AS cf FROM (SELECT *, unnest([{_CELL}]) AS c FROM r) q),
+v AS (SELECT *, v <> '' AND coalesce(CASE f {" ".join(f"WHEN '{n}' THEN {rule}" for n, rule in _FINE.items())} ELSE TRUE END, FALSE) AS fine FROM l),
+w AS (SELECT *, first_value(CASE WHEN fine THEN v END IGNORE NULLS) OVER p AS good, first_value(CASE WHEN v <> '' THEN v END IGNORE NULLS) OVER p AS any_ FROM v WINDOW p AS (PARTITION BY stem, seq, f ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT stem, seq, string_agg('field:' || f, '; ' ORDER BY idx, pos) AS conflicts FROM w WHERE f <> 'record_no' AND v <> '' AND any_ IS NOT NULL AND v <> coalesce(good, any_) AND fine = (good IS NOT NULL) GROUP BY stem, seq),
+m AS (SELECT stem, seq, f, min(pos) AS pos, coalesce(arg_min(v, idx) FILTER (fine), arg_min(v, idx) FILTER (v <> ''), '') AS v,
+  coalesce(arg_min(cf, idx) FILTER (fine), arg_min(cf, idx) FILTER (v <> ''), arg_min(cf, idx)) AS cf, string_agg(f, ',') FILTER (filled) AS filled FROM v GROUP BY stem, seq, f),
+p AS (SELECT stem, seq, {", ".join(f"max(v) FILTER (f = '{n}') AS {n}" for n in _READ)}, string_agg(f, ',' ORDER BY pos) FILTER (cf = 'low') AS low, coalesce(string_agg(filled, ',' ORDER BY pos), '') AS repaired_fields FROM m GROUP BY stem, seq),
+ti AS (SELECT stem, seq, v, conf, row_number() OVER (PARTITION BY stem, seq ORDER BY idx, line) - 1 AS i FROM (
+  SELECT stem, seq, idx, 1 AS line, treatment_line1 AS v, conf FROM r UNION ALL SELECT stem, seq, idx, 2, treatment_line2, conf FROM r) q WHERE v <> ''),
+tr AS (SELECT stem, seq, string_agg(v, '; ' ORDER BY i) AS treatments, string_agg('treatments[' || CAST(i AS STRING) || ']', ',' ORDER BY i) FILTER (conf IN ('low', 'illegible')) AS weak FROM ti GROUP BY stem, seq),
+g AS (SELECT stem, seq, string_agg(CAST(idx AS STRING), '+' ORDER BY idx) AS source_strips, count(*) AS strips, bool_or(needs) AS needs, bool_or(used) AS used, max(reason) FILTER (kind = 'primary') AS reason,
+  string_agg(reason, '; ' ORDER BY idx) FILTER (kind <> 'primary') AS told, bool_or(box) FILTER (kind = 'primary') AS box, max(core) FILTER (kind = 'primary') AS core, coalesce(string_agg(tab_no, '; ' ORDER BY idx) FILTER (tab_no <> ''), '') AS tab_nos FROM r GROUP BY stem, seq),
+e AS (SELECT p.*, g.* EXCLUDE (stem, seq), c.conflicts, coalesce(tr.treatments, '') AS treatments, tr.weak FROM p JOIN g USING (stem, seq) LEFT JOIN c USING (stem, seq) LEFT JOIN tr USING (stem, seq)),
+n AS (SELECT *, lead(record_no) OVER o AS rb, lead(strips = 1 AND (treatments <> '' OR tab_nos <> '' OR full_cost <> '' OR diagnosis <> '') AND box AND core <= 2) OVER o AS fb FROM e WINDOW o AS (PARTITION BY stem ORDER BY seq)),
+z AS (SELECT *, coalesce(lag(after) OVER (PARTITION BY stem ORDER BY seq), FALSE) AS before FROM (SELECT *, rb IS NOT NULL AND (coalesce(fb, FALSE) OR {_same_person()}) AS after FROM n) q),
+x AS (SELECT *, conflicts IS NOT NULL OR (needs AND NOT used) OR reason IS NOT NULL OR before OR after AS look FROM z)
+"""
+
+
+_GONE = {n: "''" for n in fixed.SCALARS if n not in _READ}
+_ROW = _GONE | {
+    "record_id": "stem || '-' || CAST(seq AS STRING)", "page_stem": "stem", "time": "CASE WHEN time_hh = '' AND time_mm = '' AND am_pm = '' THEN '' ELSE trim(time_hh || ':' || time_mm || ' ' || am_pm) END",
+    "low_confidence_fields": "concat_ws(',', low, weak)", "review": "CASE WHEN look THEN 'TRUE' ELSE 'FALSE' END", "merged": "CASE WHEN strips > 1 THEN 'TRUE' ELSE 'FALSE' END",
+    "review_reasons": "concat_ws('; ', conflicts, CASE WHEN needs AND NOT used THEN 'clipped-no-repair' END, reason, told, CASE WHEN before THEN 'possible-same-patient' END, CASE WHEN after THEN 'possible-same-patient' END)",
+    "model": "'gemini-3.5-flash-lite'", "reconciler_version": f"'{fixed.RECONCILER}'",
+}
+
+
+@query(_entities_sql("idx % 2 = 1") + "SELECT " + ", ".join(f"{_ROW.get(c, c)} AS {c}" for c in fixed.EXPORTED) + " FROM x")
 def entities(spark, d):
     """Strips to exported rows: classified, repaired, merged and flagged."""
     strips = ad.plain_strips(spark, d)
     return export.rows(reconcile.reconcile(strips, _rereads(spark, d)), "gemini-3.5-flash-lite")
 
 
-@query()
+@query(_kinds("idx % 5 <> 3") + f"""
+, e AS (SELECT stem, seq, coalesce(arg_min(record_no, idx) FILTER (record_no <> ''), '') AS num FROM seqs WHERE kind <> 'empty' GROUP BY stem, seq),
+x AS (SELECT stem, CAST(num AS BIGINT) AS v, lag(CAST(num AS BIGINT)) OVER (PARTITION BY stem ORDER BY seq) AS p FROM e WHERE num <> ''),
+y AS (SELECT stem, CASE WHEN count(DISTINCT v) < count(*) THEN 'duplicate' WHEN bool_or(v - p <> 1) THEN 'gap' ELSE 'ok' END AS status FROM x GROUP BY stem),
+a AS (SELECT stem, string_agg('missing-extraction:' || CAST(idx AS STRING), ',' ORDER BY idx) FILTER (idx % 5 = 3) AS gone FROM ({ad.strips_sql()}) q GROUP BY stem),
+c AS (SELECT stem, count(*) AS n FROM e GROUP BY stem),
+w AS (SELECT stem, coalesce(n, 0) AS n_entities, coalesce(status, 'ok') AS record_no_sequence, concat_ws(',', gone, CASE WHEN n IS NULL THEN 'no-patients' END) AS warnings FROM a LEFT JOIN c USING (stem) LEFT JOIN y USING (stem))
+SELECT stem, CAST(n_entities AS BIGINT) AS n_entities, record_no_sequence, warnings, warnings <> '' AS review FROM w
+""")
 def page_checks(spark, d):
     strips = ad.plain_strips(spark, d)
     present = strips.where("idx % 5 <> 3")
-    return reconcile.page_checks(strips.select("stem", "idx"), present, reconcile.reconcile(present)).select("stem", "n_entities", "record_no_sequence", F.transform("warnings", lambda w: F.concat_ws(":", w["reason"], w["strip"].cast("string"))).alias("warnings"), "review")
+    return reconcile.page_checks(strips.select("stem", "idx"), present, reconcile.reconcile(present)).select("stem", "n_entities", "record_no_sequence", F.array_join(F.transform("warnings", lambda w: F.concat_ws(":", w["reason"], w["strip"].cast("string"))), ",").alias("warnings"), "review")
 
 
 @query(_KINDS + f"""
@@ -276,7 +334,7 @@ def possible_splits_by_number(spark, d):
     return both.where(F.col("next_seq").isNotNull() & text.similar_numbers(F.col("n"), F.col("m"))).select("stem", "seq", "next_seq")
 
 
-@query()
+@query(_entities_sql("FALSE") + "SELECT stem, seq, CAST(seq - 1 AS INT) AS with_seq FROM x WHERE before UNION ALL SELECT stem, seq, CAST(seq + 1 AS INT) FROM x WHERE after")
 def possible_splits(spark, d):
     e = reconcile.reconcile(ad.plain_strips(spark, d))
     return e.select("stem", "seq", F.inline(F.filter("warnings", lambda w: w["reason"] == "possible-same-patient"))).select("stem", "seq", "with_seq")
@@ -293,14 +351,9 @@ def name_similarity(spark, d):
 _PAGES = "SELECT DISTINCT stem FROM (" + ad.strips_sql() + ") s"
 
 
-@query(f"SELECT stem, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(stem, 'c([0-9]+)p', 1) AS BIGINT), CAST(regexp_extract(stem, 'p([0-9]+)', 1) AS BIGINT)) AS INT) AS place FROM ({_PAGES}) p ORDER BY place LIMIT 200")
-def natural_page_order(spark, d):
-    """The first pages of natural_page_places."""
-    return export.places(ad.plain_strips(spark, d)).where("place <= 200")
-
-
 @query(f"SELECT stem, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(stem, 'c([0-9]+)p', 1) AS BIGINT), CAST(regexp_extract(stem, 'p([0-9]+)', 1) AS BIGINT)) AS INT) AS place FROM ({_PAGES}) p")
-def natural_page_places(spark, d):
+def natural_page_order(spark, d):
+    """The place of every page."""
     return export.places(ad.plain_strips(spark, d))
 
 
@@ -310,7 +363,10 @@ def export_summary(spark, d):
     return export.summary(strips, export.rows(reconcile.reconcile(strips))).select("pages", "entities")
 
 
-@query()
+@query(_entities_sql("idx % 2 = 1") + f"""
+, tot AS (SELECT count(*) AS entities, count(*) FILTER (strips > 1) AS merged, count(*) FILTER (used) AS repaired, count(*) FILTER (look) AS looks, count(DISTINCT stem) AS held FROM x), a AS (SELECT count(*) AS pages FROM ({_PAGES}) q)
+SELECT pages, entities, merged, repaired, looks + pages - held AS reviews, CAST(CASE WHEN looks + pages - held > 0 THEN 2 ELSE 0 END AS INT) AS exit_code FROM tot, a
+""")
 def reconcile_totals(spark, d):
     strips = ad.plain_strips(spark, d)
     e = reconcile.reconcile(strips, _rereads(spark, d))
@@ -506,10 +562,6 @@ def low_confidence_fields(spark, d):
     return ad.plain_strips(spark, d).select("stem", "idx", export.low_confidence({n: f[n] for n in fixed.SCALARS}, treatments).alias("fields"))
 
 
-@query()
-def audit_pick(spark, d):
-    return audit.pick(_cells(spark, d), 3, 11)
-
 _P = f"WITH p AS ({ad.for_duckdb(ad.PROGRESS)})"
 
 
@@ -563,6 +615,18 @@ def audit_pick_seeded(spark, d):
     return audit.pick_each(_cells(spark, d), 3, 7)
 
 
+_WEIGH = "CAST(confident AS DOUBLE) / total + 0.05"
+
+
+@query(_W + f"""
+, u AS (SELECT pdf, sum(confident) AS confident, sum(total) AS total FROM g GROUP BY pdf),
+chosen AS (SELECT pdf FROM (SELECT pdf, -ln({_UNI.replace("7|", "11|").format(k="pdf")}) / ({_WEIGH}) AS key FROM u) q ORDER BY key, pdf LIMIT 1)
+SELECT pdf, page, sheet FROM (SELECT *, -ln({_UNI.replace("7|", "11|").format(k="pdf || '|' || page")}) / ({_WEIGH}) AS key FROM g WHERE pdf IN (SELECT pdf FROM chosen)) q ORDER BY key, pdf, page LIMIT 3
+""")
+def audit_pick(spark, d):
+    return audit.pick(_cells(spark, d), 3, 11)
+
+
 # --- grid geometry ---
 
 _INK = "WITH ink AS (SELECT user_id AS page, CAST(extract(hour FROM ts) * 60 + extract(minute FROM ts) AS INT) AS y, count(*) AS ink FROM events GROUP BY 1, 2), lines AS (SELECT page, y FROM ink)"
@@ -677,5 +741,5 @@ def segmented_pages(spark, d):
 
     found = imaging.segment_pages(_drawn(spark, d))
     # what a page has travels with its name: a join would run the kernels twice
-    bounds = grid.page_bounds(found.select(F.struct("page", "status", "flipped").alias("page"), "lines", F.lit(float(fixed.HEIGHT)).alias("height")))
-    return bounds.select("page.*", "bounds", "missed", "ok")
+    bounds = grid.page_bounds(found.select(F.struct("page", "status", "flipped", "columns").alias("page"), "lines", F.lit(float(fixed.HEIGHT)).alias("height")))
+    return grid.manifests(bounds.select("page.*", "bounds", "missed", "ok", "height")).select("stem", "status", F.size("records").alias("strips"), "records", "header_band", "warnings")

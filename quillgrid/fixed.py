@@ -63,6 +63,7 @@ PLANNED = (5400, 1000)
 # Page geometry: canonical size, strips a page, sub-rows a strip, header share, snapping tolerance, padding, gap, line share.
 WIDTH, HEIGHT, STRIPS, SUBROWS, HEADER, SNAP, PAD, GAP, LINE = 2000, 1400, 5, 3, 0.177, 0.03, 25, 6, 0.27
 
-# Errors worth another attempt: status codes, and words of a message.
+# Errors worth another attempt: status codes, and a pattern and words of a message.
 RETRY_CODES = [429, 500, 501, 502, 503, 504]
+RETRY_PATTERN = r"\b(429|50[0-4])\b"
 RETRY_WORDS = ["RESOURCE_EXHAUSTED", "UNAVAILABLE", "DEADLINE_EXCEEDED"]

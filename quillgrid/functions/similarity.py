@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+def alike(a: str, b: str, least: float) -> bool:
+    """Whether the ratio is `least` or more; lengths alone settle most pairs, as no more than the shorter can match."""
+    return a == b or (2 * min(len(a), len(b)) >= least * (len(a) + len(b)) and ratio(a, b) >= least)
+
+
 def ratio(a: str, b: str) -> float:
     """2 M / T of difflib; not symmetric, so the order of arguments counts."""
     return 1.0 if a == b else difflib.SequenceMatcher(None, a, b).ratio()

@@ -17,9 +17,24 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{SPACE}|{SPACE}$", "")
 
 
+#: Characters that case folding changes into one character, and into several, as long strings: a map would be a literal a letter in every plan.
+_FOLDS = {c: c.casefold() for c in map(chr, range(0x110000)) if c.casefold() != c}
+_FROM, _TO = ("".join(x) for x in zip(*[(c, f) for c, f in _FOLDS.items() if len(f) == 1], strict=True))
+_LONGER = {c: f for c, f in _FOLDS.items() if len(f) > 1}
+_TABLE = ";" + ";".join(f"{c}={f}" for c, f in _LONGER.items()) + ";"
+
+
+def fold(c: Column) -> Column:
+    """Case folded as str.casefold() does it, character by character."""
+    some = "[" + "".join(_LONGER) + "]"
+    one = lambda x: F.when(x.rlike(some), F.call_function("regexp_extract", F.lit(_TABLE), F.concat(F.lit(";"), x, F.lit("=([^;]*)")), F.lit(1))).otherwise(x)
+    longer = F.array_join(F.transform(F.split(c, ""), one), "")
+    return F.translate(F.when(c.rlike(some), longer).otherwise(c), _FROM, _TO)
+
+
 def norm(c: Column) -> Column:
-    """Runs of white space become one space, and case is folded (sharp s as ss)."""
-    return F.lower(F.replace(F.regexp_replace(strip(c), SPACE, " "), F.lit("ß"), F.lit("ss")))
+    """Runs of white space become one space, and case is folded."""
+    return fold(F.regexp_replace(strip(c), SPACE, " "))
 
 
 def blank(c: Column) -> Column:
@@ -87,7 +102,7 @@ def instruction(index: Column, page_context: Column) -> Column:
 def retryable(code: Column, message: Column) -> Column:
     """A status code decides where there is one, else the message does."""
     words = reduce(lambda a, b: a | b, (F.contains(message, F.lit(w)) for w in fixed.RETRY_WORDS))
-    return F.when(code.isNotNull(), code.isin(fixed.RETRY_CODES)).otherwise(F.coalesce(message.rlike(r"\b(429|50[0-4])\b") | words, F.lit(False)))
+    return F.when(code.isNotNull(), code.isin(fixed.RETRY_CODES)).otherwise(F.coalesce(message.rlike(fixed.RETRY_PATTERN) | words, F.lit(False)))
 
 
 def parse_response(c: Column) -> Column:

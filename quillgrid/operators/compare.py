@@ -15,10 +15,16 @@ def rate(agree: Column, total: Column) -> Column:
 
 
 def pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Readings of both sides by (stem, idx, field): values, confidences, both_empty (exactly) and agree (normalised)."""
-    side = lambda df, x: df.select("stem", "idx", "field", F.col("value").alias(f"value_{x}"), F.col("confidence").alias(f"conf_{x}"))
-    both = side(a, "a").join(side(b, "b"), ["stem", "idx", "field"])
-    return both.select("*", ((F.col("value_a") == "") & (F.col("value_b") == "")).alias("both_empty"), (text.norm(F.col("value_a")) == text.norm(F.col("value_b"))).alias("agree"))
+    """Readings of the strips of both sides (stem, idx, fields) by field: values, confidences, both_empty (exactly) and agree (normalised).
+
+    Strips are joined, one row each, and spread into fields after that, so a strip is shuffled once and not once a field.
+    """
+    both = a.select("stem", "idx", F.col("fields").alias("a")).join(b.select("stem", "idx", F.col("fields").alias("b")), ["stem", "idx"])
+    cell = lambda n: F.struct(F.lit(n).alias("field"), *[F.col(x)[n][k].alias(f"{v}_{x}") for x in "ab" for k, v in (("value", "value"), ("confidence", "conf"))])
+    read = lambda n: F.col("a")[n].isNotNull() & F.col("b")[n].isNotNull()  # noqa: E731  what one side does not have is not compared
+    cells = both.select("stem", "idx", F.inline(F.array_compact(F.array(*[F.when(read(n), cell(n)) for n in fixed.FIELDS]))))
+    va, vb = F.col("value_a"), F.col("value_b")
+    return cells.select("*", ((va == "") & (vb == "")).alias("both_empty"), F.when(va == vb, True).otherwise(text.norm(va) == text.norm(vb)).alias("agree"))
 
 
 def by_field(both: DataFrame) -> DataFrame:
@@ -54,6 +60,6 @@ def disagreements(both: DataFrame) -> DataFrame:
 
 
 def compare(a: DataFrame, b: DataFrame) -> dict[str, DataFrame]:
-    """All four reports from one cached join of the two sides."""
-    both = pairs(a, b).persist()
+    """All four reports of one join of the two sides, which is made by each that is asked for; persist a and b, and release them, where all are."""
+    both = pairs(a, b)
     return {"by_field": by_field(both), "by_confidence": by_confidence(both), "overall": overall(both), "disagreements": disagreements(both)}

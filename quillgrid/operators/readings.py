@@ -10,7 +10,8 @@ from quillgrid.functions import text
 
 READING = "struct<value:string,confidence:string>"
 FIELDS_TYPE = "struct<" + ",".join(f"{f}:{READING}" for f in fixed.FIELDS) + ">"
-EXTRACTION_TYPE = f"stem string, model string, prompt_version string, records map<string,struct<fields:{FIELDS_TYPE},usage:struct<input_tokens:bigint,output_tokens:bigint,latency_s:double>>>"
+EXTRACTION_RECORDS = f"map<string,struct<fields:{FIELDS_TYPE},usage:struct<input_tokens:bigint,output_tokens:bigint,latency_s:double>>>"
+EXTRACTION_TYPE = f"stem string, model string, prompt_version string, records {EXTRACTION_RECORDS}"
 MANIFEST_TYPE = "stem string, status string, source_image string, canonical_size array<int>, header_band array<int>, records array<struct<index:int,y0:int,y1:int,pad_top:int,pad_bottom:int,strip:string>>, col_x array<int>, warnings array<string>"
 
 
@@ -48,10 +49,14 @@ def checked(readings: DataFrame) -> DataFrame:
     return readings.withColumn("value", F.when(F.coalesce(fine, F.lit(False)), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("invalid reading of "), F.col("field")))))
 
 
-def usable(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages of status ok, and the refused ones with the status as reason."""
-    fine = F.coalesce("status", F.lit("unknown")) == "ok"
-    return manifests.where(fine), manifests.where(~fine).select("stem", F.coalesce("status", F.lit("unknown")).alias("refused"))
+def usable(manifests: DataFrame, extractions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pages of status ok (of which there is an extraction, where those are given), and the refused ones with the reason."""
+    status = F.coalesce("status", F.lit("unknown"))
+    fine, refused = manifests.where(status == "ok"), manifests.where(status != "ok").select("stem", status.alias("refused"))
+    if extractions is None:
+        return fine, refused
+    have = extractions.select("stem").distinct()
+    return fine.join(have, "stem", "left_semi"), refused.union(fine.join(have, "stem", "left_anti").select("stem", F.lit("no-extraction")))
 
 
 def pending(expected: DataFrame, present: DataFrame, keys: list[str], force: bool = False, limit: int | None = None, order: list[str] | None = None) -> DataFrame:

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from quillgrid import fixed
-from quillgrid.functions import text
-from quillgrid.functions.similarity import ratio
+from quillgrid.functions import similarity, text
 from quillgrid.operators.readings import READING, value
 
 WARNING = "struct<reason:string,strip:int,field:string,primary:string,continuation:string,with_seq:int>"
@@ -30,7 +29,7 @@ def warning(**given: Column) -> Column:
 
 
 def alike(a: str, b: str) -> bool:
-    return ratio(a, b) >= fixed.ALIKE
+    return similarity.alike(a, b, fixed.ALIKE)
 
 
 def continues(p: dict, c: dict) -> bool:
@@ -266,6 +265,12 @@ def resumed(pages: DataFrame, done: DataFrame, force: bool = False) -> DataFrame
     return pages if force else pages.join(done.select("stem").distinct(), "stem", "left_anti")
 
 
+def repair_usage(entities: DataFrame, model: str) -> DataFrame:
+    """stem, calls, tokens and est_cost_usd (to six digits) of the second readings of every page."""
+    each = entities.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("calls", "input_tokens", "output_tokens")])
+    return each.withColumn("est_cost_usd", F.round(text.cost(F.lit(model), F.col("input_tokens"), F.col("output_tokens")), 6))
+
+
 def run_totals(checks: DataFrame, entities: DataFrame) -> DataFrame:
     """One row over a run: pages, entities, merged, repaired, reviews (a page's own review counts once more) and exit_code."""
     e = entities.agg(F.count("*").alias("entities"), F.count_if(F.size("merged_from") > 0).alias("merged"), F.coalesce(F.sum("calls"), F.lit(0)).cast("long").alias("repaired"), F.count_if("review").alias("r"))

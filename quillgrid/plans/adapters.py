@@ -101,20 +101,15 @@ def plain_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strips(spark, sf_dir, blanked=False).select("stem", "idx", "fields")
 
 
-def readings_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = strips(spark, sf_dir)
-    return readings.to_long(df).select("stem", "idx", "pos", "field", "value", "confidence")
-
-
-def readings_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+def second_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second reading: by a modulus of the order and field, another case with white space, an edit, or nothing."""
-    df = strips(spark, sf_dir)
-    cells = F.array(*[F.struct(F.lit(k).alias("pos"), F.lit(f).alias("field"), F.col("fields")[f]["value"].alias("value")) for k, f in enumerate(fixed.FIELDS)])
-    each = df.select("stem", "idx", "okey", F.inline(cells))
-    m = F.col("okey") + F.col("pos")
-    v = F.when(m % 5 == 0, F.concat(F.lit(" "), F.upper("value"), F.lit(" "))).when(m % 7 == 0, F.concat("value", F.lit("x"))).when(m % 11 == 0, "").otherwise(F.col("value"))
-    conf = F.when(m % 3 == 0, "high").when(m % 3 == 1, "medium").otherwise("low")
-    return each.select("stem", "idx", "pos", "field", v.alias("value"), conf.alias("confidence"))
+    cells = []
+    for k, f in enumerate(fixed.FIELDS):
+        m, value = F.col("okey") + k, F.col("fields")[f]["value"]
+        v = F.when(m % 5 == 0, F.concat(F.lit(" "), F.upper(value), F.lit(" "))).when(m % 7 == 0, F.concat(value, F.lit("x"))).when(m % 11 == 0, "").otherwise(value)
+        conf = F.when(m % 3 == 0, "high").when(m % 3 == 1, "medium").otherwise("low")
+        cells.append(F.struct(v.alias("value"), conf.alias("confidence")).alias(f))
+    return strips(spark, sf_dir).select("stem", "idx", F.struct(*cells).alias("fields"))
 
 
 def strips_sql() -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillgrid import fixed
 from quillgrid.functions import text
 from quillgrid.operators.imaging import PAGE_TYPE
-from quillgrid.operators.readings import EXTRACTION_TYPE, FIELDS_TYPE, MANIFEST_TYPE
+from quillgrid.operators.readings import EXTRACTION_RECORDS, EXTRACTION_TYPE, FIELDS_TYPE, MANIFEST_TYPE
 from quillgrid.operators.reconcile import WARNING
 
 AUDIT_TYPE = "timestamp string, source_pdf string, page string, record_no string, field string, stored_value string, reread_value string, result string"
@@ -47,7 +47,9 @@ def manifests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def extractions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EXTRACTION_TYPE).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "[!c]*.json").json(path)
+    """Extraction documents; reports of comparisons, which lie beside them, are left out."""
+    found = spark.read.schema(EXTRACTION_TYPE).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path)
+    return found.where(~F.col("_metadata.file_name").startswith("compare_"))
 
 
 def audit_log(spark: SparkSession, path: str) -> DataFrame:
@@ -90,11 +92,12 @@ def read_strips(pending: DataFrame, make_reader: Callable[[], Callable], attempt
 
     make_reader is called once a partition, so a client is made where it is used, and only if there is a strip. The
     reader takes (path, instruction, context) and returns ({field: (value, confidence)}, (input tokens, output tokens)).
-    An error that is worth it is tried again after 1, 2, 4 ... seconds.
+    An error that is worth it is tried again after 1, 2, 4 ... seconds. Where a reader has a method plainer(error) that returns
+    a reader (it does when an option of its own was rejected), that one goes on at once, and no attempt is used.
     """
     import re
 
-    codes, words, pattern = set(fixed.RETRY_CODES), tuple(fixed.RETRY_WORDS), re.compile(r"\b(429|50[0-4])\b")
+    codes, words, pattern = set(fixed.RETRY_CODES), tuple(fixed.RETRY_WORDS), re.compile(fixed.RETRY_PATTERN)
 
     def again(error: Exception) -> bool:
         code = getattr(error, "code", None)
@@ -109,16 +112,21 @@ def read_strips(pending: DataFrame, make_reader: Callable[[], Callable], attempt
             for row in batch.itertuples():
                 reader = reader or make_reader()
                 fields, usage, error = None, (0, 0), None
-                for k in range(attempts):
+                k = 0
+                while k < attempts:
                     try:
                         fields, usage = reader(row.path, row.instruction, row.context)
                         error = None
                         break
                     except Exception as e:  # noqa: BLE001  a strip's error is its own row
                         error = f"{type(e).__name__}: {e}"
-                        if k + 1 == attempts or not again(e):
+                        if (other := getattr(reader, "plainer", lambda _: None)(e)) is not None:
+                            reader = other
+                            continue
+                        k += 1
+                        if k == attempts or not again(e):
                             break
-                        wait(2.0**k)
+                        wait(2.0 ** (k - 1))
                 if fields is not None:
                     fields = {n: dict(zip(("value", "confidence"), fields.get(n, ("", "high")), strict=True)) for n in fixed.FIELDS}
                 out.append((row.stem, row.idx, fields, *usage, error))
@@ -128,6 +136,26 @@ def read_strips(pending: DataFrame, make_reader: Callable[[], Callable], attempt
     return rows.mapInPandas(run, f"stem string, idx int, fields {FIELDS_TYPE}, input_tokens bigint, output_tokens bigint, error string")
 
 
+def extraction_pages(before: DataFrame | None, read: DataFrame, model: str, prompt_version: str) -> DataFrame:
+    """Extraction documents after a run: stem, model, prompt_version, records and totals. read: rows of read_strips(), before: the documents as they were.
+
+    A strip that was read takes its place; one that failed keeps what it had, so it is tried again; model and prompt version are those of
+    this run.
+    """
+    usage = F.struct("input_tokens", "output_tokens", F.lit(None).cast("double").alias("latency_s")).alias("usage")
+    fine = read.where("error IS NULL").groupBy("stem").agg(F.map_from_entries(F.collect_list(F.struct(F.col("idx").cast("string"), F.struct("fields", usage)))).alias("new"))
+    pages = read.select("stem").distinct().join(fine, "stem", "left")
+    kind = EXTRACTION_RECORDS
+    if before is not None:
+        pages = pages.join(before.select("stem", F.col("records").alias("old")), "stem", "full")
+    own = lambda c: F.coalesce(F.col(c).cast(kind) if c in pages.columns else F.lit(None).cast(kind), F.create_map().cast(kind))
+    merged = pages.select("stem", F.map_zip_with(own("old"), own("new"), lambda k, a, b: F.coalesce(b, a)).alias("records"))
+    total = lambda c: F.aggregate(F.map_values("records"), F.lit(0).cast("long"), lambda a, r: a + F.coalesce(r["usage"][c], F.lit(0).cast("long")))
+    tokens = merged.withColumns({"input_tokens": total("input_tokens"), "output_tokens": total("output_tokens")})
+    totals = F.struct("input_tokens", "output_tokens", F.round(text.cost(F.lit(model), F.col("input_tokens"), F.col("output_tokens")), 6).alias("est_cost_usd"))
+    return tokens.select("stem", F.lit(model).alias("model"), F.lit(prompt_version).alias("prompt_version"), "records", totals.alias("totals"))
+
+
 def documents(entities: DataFrame, checks: DataFrame, model: Column) -> DataFrame:
     """Reconciled page documents: stem, model, reconciler_version, entities and page_checks, one row a page."""
     own = [c for c in entities.columns if c not in ("stem", "model")]

@@ -41,7 +41,7 @@ def test_strips_of_a_page_are_folded_without_python_rows(spark, sf):
 
 
 def test_every_user_has_a_segmented_page(spark, sf, duck):
-    got = [r.page for r in catalogue.QUERIES["segmented_pages"](spark, sf).select("page").collect()]
+    got = [r.stem for r in catalogue.QUERIES["segmented_pages"](spark, sf).select("stem").collect()]
     assert sorted(got) == sorted(str(k) for (k,) in duck.execute("SELECT DISTINCT user_id FROM events").fetchall()) and len(got) > 6
 
 
@@ -53,4 +53,4 @@ def test_every_page_has_its_place(spark, sf):
     for ranges in (3, 256):
         assert [r.stem for r in export.places(pages, ranges).orderBy("place").collect()] == stems
     every = spark.read.parquet(f"{sf}/orders.parquet").count()
-    assert 200 < catalogue.QUERIES["natural_page_places"](spark, sf).count() <= every
+    assert 200 < catalogue.QUERIES["natural_page_order"](spark, sf).count() <= every

@@ -86,7 +86,12 @@ def test_weighted_draws_follow_the_weights(spark):
 
 
 def test_agreement(spark):
-    one = lambda rows: spark.createDataFrame([("p", i, f, v, c) for i, f, v, c in rows], "stem string, idx int, field string, value string, confidence string")
+    def one(rows):
+        strips = {}
+        for i, f, v, c in rows:
+            strips.setdefault(i, dict.fromkeys(fixed.FIELDS))[f] = {"value": v, "confidence": c}
+        return spark.createDataFrame([("p", i, f) for i, f in strips.items()], f"stem string, idx int, fields {rd.FIELDS_TYPE}")
+
     a = one([(1, "sex", "M", "high"), (1, "day", "", "high"), (1, "village", " Lake  side", "low"), (1, "balance", " ", "high"), (2, "sex", "F", "high")])
     b = one([(1, "sex", "F", "medium"), (1, "day", "", "low"), (1, "village", "lake side ", "high"), (1, "balance", "", "high"), (9, "sex", "F", "high")])
     out = compare.compare(a, b)

@@ -45,6 +45,33 @@ def test_documents_and_stems(spark, tmp_path):
     assert files.find_file(spark, str(tmp_path), "b_p2.json").count() == 1
 
 
+def test_extractions_of_any_stem(spark, tmp_path):
+    for stem in ("c1p0", "clinic", "compare_c1p0", "b"):
+        (tmp_path / f"{stem}.json").write_text(json.dumps({"stem": stem, "model": "m", "records": {}}))
+    assert sorted(r.stem for r in files.extractions(spark, str(tmp_path)).collect()) == ["b", "c1p0", "clinic"]
+
+
+def test_pages_without_extraction_are_refused(spark):
+    pages = spark.createDataFrame([("a", "ok"), ("b", "needs_review"), ("c", None), ("d", "ok")], "stem string, status string")
+    fine, refused = rd.usable(pages, spark.createDataFrame([("a",), ("b",)], "stem string"))
+    assert [r.stem for r in fine.collect()] == ["a"]
+    assert {tuple(r) for r in refused.collect()} == {("b", "needs_review"), ("c", "unknown"), ("d", "no-extraction")}
+
+
+def test_extraction_documents_after_a_run(spark):
+    cells = {n: {"value": "x", "confidence": "high"} for n in fixed.FIELDS}
+    old = spark.createDataFrame([("p", "was", "0", {"1": (cells, (1, 2, 0.5)), "2": (cells, (3, 4, 0.5))}), ("q", "was", "0", {})], rd.EXTRACTION_TYPE)
+    new = {n: {"value": "y", "confidence": "low"} for n in fixed.FIELDS}
+    read = spark.createDataFrame([("p", 2, None, 0, 0, "E: no"), ("p", 3, new, 1_000_000, 10, None), ("r", 1, None, 0, 0, "E: no")], f"stem string, idx int, fields {rd.FIELDS_TYPE}, input_tokens bigint, output_tokens bigint, error string")
+    out = {r.stem: r for r in files.extraction_pages(old, read, "gemini-3.7-flash", "2").collect()}
+    assert set(out) == {"p", "q", "r"} and out["q"].records == {} and out["r"].records == {}
+    p = out["p"]
+    assert (p.model, p.prompt_version, sorted(p.records)) == ("gemini-3.7-flash", "2", ["1", "2", "3"])
+    assert p.records["2"].fields.sex.value == "x" and p.records["3"].fields.sex.value == "y"
+    assert (p.totals.input_tokens, p.totals.output_tokens, p.totals.est_cost_usd) == (1_000_004, 16, 0.750063)
+    assert files.extraction_pages(None, read, "m", "2").count() == 2
+
+
 def test_logs_and_corrections(spark, tmp_path):
     rows = spark.createDataFrame([("t", "d", "1", "2", "Sex", "", 'a "b"', "MATCH")], files.AUDIT_TYPE)
     files.append_audit(rows, str(tmp_path / "log"))
@@ -80,6 +107,25 @@ def make_reader():
     return read
 
 
+class Fussy:
+    def __init__(self, plain=False):
+        self.plain = plain
+
+    def __call__(self, path, instruction, context):
+        if not self.plain:
+            raise ValueError("option thinking is not known")
+        return {"sex": ("F", "high")}, (1, 1)
+
+    def plainer(self, error):
+        return Fussy(True) if "thinking" in str(error) and not self.plain else None
+
+
+def test_a_rejected_option_uses_no_attempt(spark):
+    todo = spark.createDataFrame([("p", 1, "x", None), ("p", 2, "y", None)], "stem string, idx int, path string, context string")
+    out = files.read_strips(todo.coalesce(1), Fussy, attempts=1, pause=lambda s: None).collect()
+    assert all(r.error is None and r.fields.sex.value == "F" for r in out)
+
+
 def test_reading_strips(spark):
     todo = spark.createDataFrame([("p", 1, "fine", None), ("p", 2, "busy", "c"), ("p", 3, "bad", None)], "stem string, idx int, path string, context string")
     out = {r.idx: r for r in files.read_strips(todo.coalesce(1), make_reader, pause=lambda s: None).collect()}

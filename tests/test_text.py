@@ -15,7 +15,7 @@ def column(spark, values, f, kind="string"):
 
 
 def test_strip_and_norm_are_those_of_str(spark):
-    values = ["", " a ", "\t\n a b  ", "\x1c x \x1f", "Straße", "ÀB  c", "　"]
+    values = ["", " a ", "\t\n a b  ", "\x1c x \x1f", "Straße", "ÀB  c", "　", "ſtop", "ΟΔΟΣ", "ﬁne oﬃce", "ŉ", "İstanbul", "ẞ", "Ꭰ", "ꭰ", "ǅ"]
     assert column(spark, values, text.strip) == [v.strip() for v in values]
     assert column(spark, values, text.norm) == [" ".join(v.split()).casefold() for v in values]
 
