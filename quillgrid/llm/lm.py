@@ -96,11 +96,11 @@ def _blocks(batches):
 
 def classes(words: np.ndarray, ending: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """The class of each word; heads: sorted hashes of the most frequent."""
-    out = 1 + HEADS + ending.astype(np.int64)
+    out = 1 + HEADS + ending.astype(np.int32)
     if len(heads):
         k = np.minimum(np.searchsorted(heads, words), len(heads) - 1)
         out = np.where(heads[k] == words, 1 + k, out)
-    return np.where(words == END, 0, out)
+    return np.where(words == END, 0, out).astype(np.int32)
 
 
 def contexts(seq: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -169,11 +169,11 @@ class Model:
 
 def outputs(words: np.ndarray, ending: np.ndarray, own: np.ndarray) -> np.ndarray:
     """The output of each word; own: sorted hashes of the words that have one."""
-    out = 1 + len(own) + ending.astype(np.int64)
+    out = 1 + len(own) + ending.astype(np.int32)
     if len(own):
         k = np.minimum(np.searchsorted(own, words), len(own) - 1)
         out = np.where(own[k] == words, 1 + k, out)
-    return np.where(words == END, 0, out)
+    return np.where(words == END, 0, out).astype(np.int32)
 
 
 def refine(p: dict[str, np.ndarray], share: np.ndarray, context: np.ndarray, output: np.ndarray, n: np.ndarray, rng: np.random.Generator) -> dict[str, np.ndarray]:
@@ -301,18 +301,20 @@ def score(model: Model, blocks: DataFrame, counted: DataFrame) -> DataFrame:
         count[right.column("place").to_numpy() & ((1 << 24) - 1)] = right.column("c").to_numpy()
         base = np.log10((count + 0.5) / (total + 0.5 * (distinct + 1)))
         to = outputs(words, ending, own)
-        share = np.where(to > len(own), np.log10((count + 0.5) / mass[np.maximum(to - 1 - len(own), 0)]), 0.0)
-        used, at = np.unique(contexts(classes(words, ending, model.heads)[idx], lens), return_inverse=True)
-        order, token, seq = np.argsort(at, kind="stable"), np.empty(len(idx), np.float32), to[idx]
+        share = np.where(to > len(own), np.log10((count + 0.5) / mass[np.maximum(to - 1 - len(own), 0)]), 0.0).astype(np.float32)
+        at = contexts(classes(words, ending, model.heads)[idx], lens)
+        used = np.flatnonzero(np.bincount(at, minlength=CLASSES**2))
+        at = np.searchsorted(used, at).astype(np.int16)  # CLASSES^2 is 2^14
+        order, token, seq = np.argsort(at, kind="stable").astype(np.int32), np.empty(len(idx), np.float32), to[idx]
         edges = np.searchsorted(at[order], np.arange(0, len(used) + 512, 512))
         for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             rows = order[a:b]
             token[rows] = log_probabilities(p, used[512 * k : 512 * (k + 1)])[at[rows] - 512 * k, seq[rows]]
-        whole = token + share[idx]
+        token += share[idx]
         edge = np.concatenate([[0], np.cumsum(lens)])[:-1]
         each = lambda x: np.add.reduceat(x, edge)  # noqa: E731  every document has its end
         n = len(lens)
-        return pa.table([left.column("doc_id")[0].values, pa.array(out.astype(bool)), pa.array(lens.astype(np.int64)), pa.array(each((count[idx] > 0).astype(np.int64))), pa.array(np.full(n, total)), pa.array(each(base[idx])), pa.array(each(whole.astype(np.float64)))], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.table([left.column("doc_id")[0].values, pa.array(out.astype(bool)), pa.array(lens.astype(np.int64)), pa.array(each((count[idx] > 0).astype(np.int64))), pa.array(np.full(n, total)), pa.array(each(base[idx])), pa.array(np.add.reduceat(token, edge, dtype=np.float64))], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     back = counted.select(F.shiftright("place", 24).alias("block"), "place", "c")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
