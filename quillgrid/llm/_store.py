@@ -48,7 +48,10 @@ def tidy(run):
 
 
 class Tables:
-    """Parquet tables of one query, which cut its lineage and outlive any executor."""
+    """Parquet tables of one query, which cut its lineage and outlive any executor.
+
+    A result may be read long after its query was built, so tables that it may read belong to the application: they go when it ends.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
@@ -63,13 +66,19 @@ class Tables:
             df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
         finally:
             conf.set(CLEANUP, before)
+        if self.n == 1:
+            self._path(self.root)[1].deleteOnExit(self._path(self.root)[0])
         out = self.spark.read.schema(df.schema).parquet(path)
         out.kept_at = path
         return out
 
+    def _path(self, at: str):
+        """A path and its file system, as the JVM knows them."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(at)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def drop(self, *frames: DataFrame) -> None:
         """Deletes tables that nothing reads any more."""
-        jvm = self.spark._jvm
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df.kept_at)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            path, store = self._path(df.kept_at)
+            store.delete(path, True)
