@@ -29,7 +29,8 @@ def fold(c: Column) -> Column:
     some = "[" + "".join(_LONGER) + "]"
     one = lambda x: F.when(x.rlike(some), F.call_function("regexp_extract", F.lit(_TABLE), F.concat(F.lit(";"), x, F.lit("=([^;]*)")), F.lit(1))).otherwise(x)
     longer = F.array_join(F.transform(F.split(c, ""), one), "")
-    return F.translate(F.when(c.rlike(some), longer).otherwise(c), _FROM, _TO)
+    full = F.translate(F.when(c.rlike(some), longer).otherwise(c), _FROM, _TO)
+    return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(full)  # ASCII needs no table
 
 
 def norm(c: Column) -> Column:
