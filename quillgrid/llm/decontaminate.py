@@ -11,7 +11,8 @@ proximity() finds documents that hold all words of a query within a span, from t
 Equal windows, of one item or of several, are looked up once, so a text has at most one match of each length at a place,
 however repetitive it and the items are. Terms are 64-bit hashes: a collision could only add a candidate, which the
 comparison rejects. A row is its id and the hash of its text, so rows of one id with different texts are told apart. Item words
-are broadcast while they are few (BROADCAST_TERMS); beyond that the joins are left to Spark.
+are broadcast while they are few (BROADCAST_TERMS); beyond that the joins are left to Spark. Only texts of rows with a candidate are
+shuffled, at every size: a bitmap of at most MOST_BITS bits tells most others apart where they are read, and the join the rest.
 
 Cases: a null text has no words; null ids are kept; items without words have no window; an item id in several rows
 counts once; repeated document rows are each returned; other columns are ignored.
@@ -26,6 +27,8 @@ from ._store import Tables
 
 #: Fixed parameters: words of a window, looked-up words of each, most item positions that are broadcast.
 LENGTH, ANCHORS, BROADCAST_TERMS = 10, 3, 200_000
+#: Bits of the bitmap: for each row in it, at least, and at most (8 MB). With fewer bits more rows are joined for nothing.
+ROW_BITS, LEAST_BITS, MOST_BITS = 64, 1 << 15, 1 << 26
 #: Words before A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -55,6 +58,20 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_TERMS else df
 
 
+def sift(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs (with a column `row`) in two parts: those whose row may be in rows (kept, each once), with all that are, and those whose row is not."""
+    n = max(rows.count(), 1)
+    m = min(MOST_BITS, max(LEAST_BITS, 1 << (ROW_BITS * n - 1).bit_length()))
+    bit = F.pmod(F.xxhash64("row"), F.lit(m)) + 1
+    marked = rows.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    names = docs.columns
+    placed = docs.select("*", bit.alias("_bit")).join(F.broadcast(marked), F.bitmap_bucket_number("_bit") == F.col("bucket"), "left")
+    at = F.bitmap_bit_position("_bit")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    set_ = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return placed.where(set_).select(*names), placed.where(~set_).select(*names)
+
+
 def build_index(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
     """Postings (term, row, pos) of the terms (a column `term`), and ends."""
     every = row_key(docs).select("row", F.posexplode(F.concat(F.coalesce(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.array()), F.array(F.lit("")))).alias("pos", "word"))
@@ -104,8 +121,8 @@ def matches(docs: DataFrame, items: DataFrame, tables: Tables | None = None) ->
     every = tables.keep(windows(words, frequencies(index)))
     cut = tables.keep(every.groupBy("phrase").agg(F.min(F.struct("item", "off", "len", "anchors")).alias("w")).select("phrase", "w.*"))
     likely = tables.keep(alignments(index, words, cut, n_places).groupBy("row").agg(F.collect_set(F.struct("phrase", "start", "len")).alias("ms")))
-    # the texts of rows that have a candidate; where ids of those rows are few, Spark filters the scan by them
-    own = row_key(docs).join(likely, "row").select("row", "ms", words_of(F.col("text")).alias("own")).dropDuplicates(["row"])
+    # the texts of rows that have a candidate
+    own = sift(row_key(docs), likely)[0].join(likely, "row").select("row", "ms", words_of(F.col("text")).alias("own")).dropDuplicates(["row"])
     exact = F.filter("ms", lambda m: F.array_join(F.slice("own", m["start"] + 1, m["len"]), " ") == m["phrase"])
     found = own.select("row", exact.alias("found")).where("size(found) > 0")
     whose = every.join(words.select("item", "item_id"), "item").select("phrase", "item_id").distinct()
@@ -143,9 +160,12 @@ def proximity(index: DataFrame, queries: DataFrame, span: int) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that hold no window of any item, with all their columns."""
-    _, found, _ = matches(docs, items)
+    tables = Tables(docs.sparkSession, "decontaminate")
+    found = tables.keep(matches(docs, items, tables)[1].select("row"))
+    tables.drop_but(found)
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text"))
-    return docs.select(key.alias("row"), F.struct("*").alias("own")).join(found.select("row"), "row", "left_anti").select("own.*")
+    maybe, clean = sift(docs.select(key.alias("row"), F.struct("*").alias("own")), found)
+    return clean.union(maybe.join(found, "row", "left_anti")).select("own.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillgrid.llm import decontaminate
 
@@ -108,3 +109,41 @@ def test_repetitive_texts_and_items(spark):
     items = spark.createDataFrame([("many", "la " * 300), ("again", "la " * 40), ("one", "la"), ("two", "di la")], "item_id string, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.report(docs, items).collect()}
     assert got == {1: (3000, 3000, 3), 2: (9, 9, 1), 3: (1000, 999, 2)}
+
+
+def shuffled(spark):
+    """Bytes that the session has shuffled."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    held = sc.statusStore().executorList(False)
+    return sum(held.apply(k).totalShuffleWrite() for k in range(held.size()))
+
+
+def test_texts_without_candidates_are_not_shuffled(spark):
+    rng = random.Random(5)
+    docs = [(d, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=20_000))) for d in range(200)] + [(200, "x a b c d e f g h i j"), (None, "a b c d e f g h i j")]
+    items = spark.createDataFrame([("i", "a b c d e f g h i j k")], "item_id string, text string")
+    table = documents(spark, docs).repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the rows that are met were too many to broadcast
+    try:
+        table.write.mode("overwrite").parquet(at := decontaminate.Tables(spark, "test").root + "/docs")
+        stored, before = spark.read.parquet(at), shuffled(spark)
+        got = {r.doc_id: r.n_hit for r in decontaminate.report(stored, items).collect() if r.contaminated}
+        middle = shuffled(spark)
+        kept = decontaminate.drop_contaminated(stored, items).select("doc_id", F.length("text")).collect()
+        after = shuffled(spark)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {200: 10, None: 10} and sorted(map(tuple, kept)) == [(d, 20_000) for d in range(200)]
+    assert middle - before < 500_000 and after - middle < 500_000
+
+
+def test_rows_are_sifted_at_any_size_of_the_bitmap(spark, monkeypatch):
+    docs = decontaminate.row_key(documents(spark, [(d, f"t {d}") for d in range(2000)] + [(None, None), (3, "other")]))
+    some = docs.where("row.doc_id % 37 = 0 OR row.doc_id IS NULL").select("row")
+    for most in (1 << 26, 1 << 6):
+        monkeypatch.setattr(decontaminate, "MOST_BITS", most)
+        maybe, clean = decontaminate.sift(docs, some)
+        assert maybe.count() + clean.count() == 2002 and clean.join(some, "row").count() == 0 and maybe.join(some, "row").count() == some.count()
+    maybe, clean = decontaminate.sift(docs, some.limit(0))
+    assert maybe.count() == 0 and clean.count() == 2002
