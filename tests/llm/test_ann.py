@@ -56,3 +56,25 @@ def test_fewer_candidates_than_asked_for(spark):
     assert ann.search(df, df.where(F.lit(False))).count() == 0
     alone = table(spark, [(0, [1.0, 0.0])])
     assert ann.search(alone, alone).count() == 0
+
+
+def test_recall_on_other_rows(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    c = rng.normal(size=(40, 64))
+    tight = c[rng.integers(0, 40, 3000)] + 0.02 * rng.normal(size=(3000, 64))
+    apart = rng.normal(size=(3000, 64))
+    apart[::20] = 0.1 * rng.normal(size=(150, 64)) + c[0]
+    large = 1e30 * rng.normal(size=(3000, 64))
+    one = rng.normal(size=(3000, 64))
+    one[7] *= 1e20
+    for name, x in {"tight": tight, "apart": apart, "large": large, "one": one}.items():
+        rows = [(i, v.tolist()) for i, v in enumerate(x)]
+        table(spark, rows).write.parquet(str(tmp_path / name))
+        df = spark.read.parquet(str(tmp_path / name))
+        y = x.astype(np.float32).astype(float)
+        s = y[::20] @ y.T
+        s[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+        expected = dict(zip(range(0, 3000, 20), np.argsort(-s, axis=1)[:, :20].tolist(), strict=True))
+        got = found(ann.search(df, df.where("vec_id % 20 = 0")))
+        assert got.keys() == expected.keys() and all(len(v) == 20 for v in got.values())
+        assert sum(len(set(got[q]) & set(expected[q])) for q in got) >= 0.95 * 20 * len(got), name
